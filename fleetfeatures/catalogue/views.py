@@ -73,11 +73,15 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return use_utc(spark).read.parquet(f"{folder}/{name}.parquet")
 
 
-def view(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """One of the views above."""
+def _name_tables(spark: SparkSession, folder: str, names: list[str]) -> None:
     for base in ("events", "customer", "supplier"):
-        if f"FROM {base}" in VIEWS[name]:
+        if any(f"FROM {base}" in VIEWS[name] for name in names):
             table(spark, folder, base).createOrReplaceTempView(base)
+
+
+def view(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """One of the views above."""
+    _name_tables(spark, folder, [name])
     return spark.sql(VIEWS[name])
 
 
@@ -86,7 +90,8 @@ def trip_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     names = {"city_weather": "cityw", "drivers_table": "drivers", "routes_table": "routes",
              "routes_weather": "routew", "traffic_table": "traffic", "truck_schedule_table": "sched",
              "trucks_table": "trucks"}
-    tables = {name: view(spark, folder, short) for name, short in names.items()}
+    _name_tables(spark, folder, list(names.values()))
+    tables = {name: spark.sql(VIEWS[short]) for name, short in names.items()}
     return {**tables, "traffic_table": merge_date_hour(tables["traffic_table"])}
 
 

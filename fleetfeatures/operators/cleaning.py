@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from fleetfeatures.constants import DEFAULT_DATE
 from fleetfeatures.operators.joins import HOT_MIN_ROWS, hot_keys, join_on
 from fleetfeatures.operators.quantiles import ONE_TASK_VALUES, exact_quantiles
+from fleetfeatures.operators.rows import first_per_key
 
 _WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 _TIMES = (T.TimestampType, T.TimestampNTZType, T.DateType)
@@ -160,19 +161,14 @@ def has_repeats(df: DataFrame, column: str) -> DataFrame:
 def keep_first(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
     """C11: one row per key, the first along ``order_by``.
 
-    A minimum over (order, row) rather than a sorted window: every task reduces
-    its rows to one per key before the shuffle, so a key with very many copies
-    costs no more than any other. Equal orders are decided by the rest of the
-    row, so the result is the same on every run.
+    Asking for row number 1 only lets every task cut its rows to one per key
+    before the shuffle, so a key with very many copies costs no more than any
+    other. Equal orders are decided by the rest of the row, so every run, and
+    every use of the result in one plan, sees the same row.
     """
-    keys = list(keys)
-    rest = [c for c in df.columns if c not in keys]
-    if not rest:
-        return df.select(*keys).distinct()
-    ordered = [c for c in order_by if c not in keys]
-    ranked = ordered + [c for c in rest if c not in ordered]
-    first = df.groupBy(*keys).agg(F.min(F.struct(*ranked)).alias("__first"))
-    return first.select(*[F.col(c) if c in keys else F.col(f"__first.{c}").alias(c) for c in df.columns])
+    order = [c for c in order_by if c not in keys]
+    order += [c for c, kind in df.dtypes if c not in keys and c not in order and "map<" not in kind]
+    return first_per_key(df, keys, [F.col(c).asc() for c in order])
 
 
 def keep_first_by_table(tables: Mapping[str, DataFrame], keys: Mapping[str, Sequence[str]],

@@ -11,14 +11,20 @@ from pyspark.sql import functions as F
 Tables = Mapping[str, DataFrame]
 
 
+def drop_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Drop those of the columns the frame has."""
+    present = available(df, columns)
+    return df.drop(*present) if present else df
+
+
 def drop_from_all(tables: Tables, columns: Sequence[str]) -> dict[str, DataFrame]:
     """Drop the columns wherever they occur."""
-    return {name: df.drop(*columns) for name, df in tables.items()}
+    return {name: drop_columns(df, columns) for name, df in tables.items()}
 
 
 def drop_by_table(tables: Tables, columns: Mapping[str, Sequence[str]]) -> dict[str, DataFrame]:
     """Drop columns per table; unknown tables and columns are skipped."""
-    return {name: df.drop(*columns.get(name, ())) for name, df in tables.items()}
+    return {name: drop_columns(df, columns.get(name, ())) for name, df in tables.items()}
 
 
 def rename_in(tables: Tables, names: Sequence[str], old: str = "date", new: str = "custom_date"
@@ -32,12 +38,13 @@ def rename_by_pattern(df: DataFrame, patterns: Sequence[tuple[str, str]]) -> Dat
     names = df.columns
     for pattern, replacement in patterns:
         names = [re.sub(pattern, replacement, n) for n in names]
-    return df.toDF(*names)
+    return df if names == df.columns else df.toDF(*names)
 
 
 def rename_by_map(df: DataFrame, renames: Mapping[str, str]) -> DataFrame:
     """P5: rename by mapping; names the frame lacks are skipped."""
-    return df.withColumnsRenamed({k: v for k, v in renames.items() if k in df.columns})
+    known = {k: v for k, v in renames.items() if k in df.columns}
+    return df.withColumnsRenamed(known) if known else df
 
 
 def available(df: DataFrame, columns: Sequence[str]) -> list[str]:

@@ -74,32 +74,34 @@ def join_on(left: DataFrame, right: DataFrame, on: KeyPairs, how: str = "left",
 
     Rows whose key hash is in ``hot`` are spread over ``salts`` sub-keys, and
     only the matching right rows are repeated, so a key that holds a third of
-    the left side does not end in one task. The salt is a hash of the row, so a
-    recomputed task puts every row where it was before. Which side is broadcast
-    is left to Spark's size check.
+    the left side does not end in one task. The salt is a hash of the row and
+    its partition: equal rows are spread too, and a recomputed task puts every
+    row where it was before. Which side is broadcast is left to Spark's size
+    check.
     """
     pairs = _pairs(on)
-    common = {l for l, r in pairs if l == r}
-    right_keys = [f"__right_{i}" for i in range(len(pairs))]
-    keyed = right.select("*", *[F.col(r).alias(k) for (_, r), k in zip(pairs, right_keys)]).drop(*common)
-    left_keys = [l for l, _ in pairs]
-    if how in ("left_semi", "left_anti"):
-        keyed = keyed.select(*right_keys)
-    else:
-        clash = [c for c in left.columns if c in right.columns and c not in common]
-        if clash and suffixes is None:
-            raise ValueError(f"both sides have {clash}; rename first or give suffixes")
-        if clash:
-            left = left.withColumnsRenamed({c: c + suffixes[0] for c in clash})
-            keyed = keyed.withColumnsRenamed({c: c + suffixes[1] for c in clash})
-            left_keys = [l + suffixes[0] if l in clash else l for l in left_keys]
-    condition = [F.col(l).eqNullSafe(F.col(k)) for l, k in zip(left_keys, right_keys)]
+    semi = how in ("left_semi", "left_anti")
+    if semi:
+        right = right.select(*[r for _, r in pairs])
+    held = {r: f"__right_{r}" for l, r in pairs if l == r or semi}
+    clash = set(left.columns) & set(right.columns) - set(held)
+    if clash and suffixes is None:
+        raise ValueError(f"both sides have {sorted(clash)}; rename first or give suffixes")
+    left_named = {c: c + suffixes[0] for c in clash}
+    right_named = {**{c: c + suffixes[1] for c in clash}, **held}
+    left = left.withColumnsRenamed(left_named) if left_named else left
+    right = right.withColumnsRenamed(right_named) if right_named else right
+    left_keys = [left_named.get(l, l) for l, _ in pairs]
+    right_keys = [right_named.get(r, r) for _, r in pairs]
+    condition = [F.col(l).eqNullSafe(F.col(r)) for l, r in zip(left_keys, right_keys)]
+    helpers = [] if semi else list(held.values())
     if hot:
         hashes = list(hot)
-        own = F.pmod(F.xxhash64(*left.columns), F.lit(salts)).cast("int")
+        own = F.pmod(F.xxhash64(*left.columns, F.spark_partition_id()), F.lit(salts)).cast("int")
         left = left.withColumn("__salt_left", F.when(_hash_of(left, left_keys).isin(hashes), own).otherwise(0))
-        spread = F.when(_hash_of(keyed, right_keys).isin(hashes), F.sequence(F.lit(0), F.lit(salts - 1)))
-        keyed = keyed.withColumn("__salt_right", F.explode(F.coalesce(spread, F.array(F.lit(0)))))
+        spread = F.when(_hash_of(right, right_keys).isin(hashes), F.sequence(F.lit(0), F.lit(salts - 1)))
+        right = right.withColumn("__salt_right", F.explode(F.coalesce(spread, F.array(F.lit(0)))))
         condition.append(F.col("__salt_left") == F.col("__salt_right"))
-    joined = left.join(keyed, reduce(and_, condition), how)
-    return joined.drop("__salt_left", "__salt_right", *right_keys)
+        helpers += ["__salt_left"] if semi else ["__salt_left", "__salt_right"]
+    joined = left.join(right, reduce(and_, condition), how)
+    return joined.drop(*helpers) if helpers else joined

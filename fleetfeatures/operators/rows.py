@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetfeatures.constants import TRAIN_UNTIL, VALID_UNTIL
@@ -80,12 +80,16 @@ def newest(df: DataFrame, time: str, tie: Sequence[str] = ()) -> DataFrame:
     return df.orderBy(F.col(time).desc(), *tie).limit(1)
 
 
+def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
+    """The row that sorts first in each key group; null keys form a group."""
+    place = F.row_number().over(Window.partitionBy(F.struct(*keys)).orderBy(*(order or keys)))
+    return df.withColumn("__place", place).where("__place = 1").drop("__place")
+
+
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """The last row per key along ``order``, reduced map-side like ``keep_first``."""
-    rest = [c for c in df.columns if c not in keys]
-    ranked = [c for c in order if c in rest] + [c for c in rest if c not in order]
-    last = df.groupBy(*keys).agg(F.max(F.struct(*ranked)).alias("__last"))
-    return last.select(*[F.col(c) if c in keys else F.col(f"__last.{c}").alias(c) for c in df.columns])
+    """The last row per key along ``order``; equals are decided by the rest of the row."""
+    rest = [c for c, kind in df.dtypes if c not in keys and c not in order and "map<" not in kind]
+    return first_per_key(df, keys, [F.col(c).desc() for c in [*order, *rest]])
 
 
 def best_first(df: DataFrame, score: str, position: str) -> DataFrame:

@@ -6,7 +6,6 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from fleetfeatures.constants import (
     BOOKKEEPING_COLUMNS,
@@ -55,7 +54,7 @@ class HotKeys:
     trip: Sequence[int] = field(default=())
 
 
-def hot_trip_keys(tables: Tables, min_rows: int = HOT_MIN_ROWS) -> HotKeys:
+def hot_trip_keys(tables: Tables, min_rows: int = HOT_MIN_ROWS, rows: int | None = None) -> HotKeys:
     """Look for hot keys of every join of the wide plan, unless the schedule is small.
 
     ``tables`` may still hold duplicates, which saves their shuffle here. One
@@ -63,7 +62,7 @@ def hot_trip_keys(tables: Tables, min_rows: int = HOT_MIN_ROWS) -> HotKeys:
     their routes: key columns only, nothing shuffled by key.
     """
     schedule = tables["truck_schedule_table"]
-    if schedule.count() < min_rows:
+    if (schedule.count() if rows is None else rows) < min_rows:
         return HotKeys()
     schedule = utc_columns(schedule.select(*TRIP_KEYS))
     trips = hot_key_sets(schedule, {"pair": PAIR_KEYS, "route": ["route_id"], "truck": ["truck_id"],
@@ -224,19 +223,13 @@ def wide_trips(tables: Tables, order_by: Mapping[str, Sequence[str]] | Sequence[
     nulls go, along a total order of the row keys.
     """
     rows = tables["truck_schedule_table"].count()
-    hot = hot_trip_keys(tables) if hot is None else hot
+    hot = hot_trip_keys(tables, rows=rows) if hot is None else hot
     prepared = prepare_tables(tables, order_by)
     wide = add_vehicle_and_driver(trips_on_one_spine(prepared, hot), prepared, hot)
-    wide = wide.withColumn("is_midnight", crosses_midnight("departure_date", "estimated_arrival"))
-    wide = finish_columns(wide)
+    wide = finish_columns(wide.withColumn("is_midnight", crosses_midnight("departure_date", "estimated_arrival")))
     order = ["departure_date", "truck_id", "route_id", "origin_id", "destination_id", "driver_id"]
     wide = number_rows(wide, "unique_id", order, start=0, rows=rows, one_task_rows=one_task_rows)
     if drop_nulls:
         wide = wide.na.drop("any")
     return wide.withColumn("event_time", timestamp_literal(WIDE_EVENT_TIME))
 
-
-def select_outputs(df: DataFrame) -> DataFrame:
-    """Times without zone, for comparison and export."""
-    zoned = [c for c, kind in df.dtypes if kind == "timestamp"]
-    return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in zoned}) if zoned else df

@@ -26,6 +26,7 @@ from fleetfeatures.operators.features import (
 from fleetfeatures.operators.metrics import scores
 from fleetfeatures.operators.models import Fitted, Grid, default_grids, grid_search, predict, with_folds
 from fleetfeatures.operators.rows import split_by_time
+from fleetfeatures.session import cut_lineage
 
 TRIP_ID = ["unique_id"]
 
@@ -44,7 +45,11 @@ class Frames:
 
 def build_frames(wide: DataFrame, train_until: str = TRAIN_UNTIL, valid_until: str = VALID_UNTIL,
                  time_column: str = "estimated_arrival") -> Frames:
-    """Split by time, encode and scale all three parts with what train holds."""
+    """Split by time, encode and scale all three parts with what train holds.
+
+    The parts are written to the checkpoint folder: every fit and evaluation
+    reads them, none should repeat the joins and encodings behind them.
+    """
     parts = split_by_time(wide, time_column, train_until, valid_until)
     continuous, categorical = available(wide, CONTINUOUS), available(wide, CATEGORICAL)
     encoded = available(wide, ENCODED)
@@ -54,7 +59,7 @@ def build_frames(wide: DataFrame, train_until: str = TRAIN_UNTIL, valid_until: s
     ready = []
     for part in parts:
         chosen = part.select(*keys, *continuous, *categorical, TARGET)
-        ready.append(apply_scaling(apply_one_hot(chosen, encoding), scaling))
+        ready.append(cut_lineage(apply_scaling(apply_one_hot(chosen, encoding), scaling)))
     features = continuous + [c for c in categorical if c not in encoded] + one_hot_names(encoding)
     return Frames(*ready, encoding, scaling, features)
 

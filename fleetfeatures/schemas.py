@@ -6,6 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+_TYPES = {"string": T.StringType(), "int": T.IntegerType(), "bigint": T.LongType(), "double": T.DoubleType(),
+          "timestamp": T.TimestampType()}
+
 _WEATHER = [
     ("temp", "double", "temperature, Fahrenheit"),
     ("wind_speed", "double", "wind speed, miles per hour"),
@@ -78,7 +81,7 @@ def table_schema(name: str) -> T.StructType:
     """The schema of one raw table."""
     schema = T.StructType()
     for column, kind, comment in _COLUMNS[name]:
-        schema.add(column, kind, True, {"comment": comment})
+        schema.add(column, _TYPES[kind], True, {"comment": comment})
     return schema
 
 
