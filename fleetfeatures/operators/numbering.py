@@ -19,8 +19,8 @@ def number_rows(df: DataFrame, name: str, order_by: Sequence[str | Column], *, s
     """Consecutive numbers along ``order_by``, which must be a total order.
 
     Up to ``one_task_rows`` rows a plain window does it. Beyond, the frame is
-    range-sorted over all tasks, written to the checkpoint folder (so that a
-    lost executor cannot shift the numbers) and each partition's numbers start
+    range-sorted over all tasks, written to the shared folder (so that a lost
+    executor cannot shift the numbers) and each partition's numbers start
     where the one before it ends. ``rows`` saves the count when the caller
     knows the size.
     """

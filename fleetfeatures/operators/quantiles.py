@@ -8,8 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-ONE_TASK_VALUES = 1_000_000
-CELLS = 1024
+ONE_TASK_VALUES = 200_000
+CELLS = 2048
 
 
 def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float], *,
@@ -28,71 +28,79 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
     shape = values.agg(*[F.struct(F.count(c).alias("n"), F.min(c).alias("lo"), F.max(c).alias("hi")).alias(c)
                          for c in columns]).first()
     small = [c for c in columns if shape[c]["n"] <= one_task_values]
+    large = [c for c in columns if c not in small]
     found = _percentiles(values, small, probs) if small else {}
-    for c in columns:
-        if c not in found:
-            column = values.select(F.col(c).alias("v")).where(F.col("v").isNotNull())
-            found[c] = _interpolate(column, shape[c]["n"], shape[c]["lo"], shape[c]["hi"], probs, cells)
+    if large:
+        places = {c: [(shape[c]["n"] - 1) * p for p in probs] for c in large}
+        ranks = {c: {r for place in places[c] for r in (math.floor(place), math.ceil(place))} for c in large}
+        ends = {c: (shape[c]["lo"], shape[c]["hi"]) for c in large}
+        at = _values_at_ranks(values.select(*large), ranks, ends, cells)
+        for c in large:
+            found[c] = [_between(at[c][math.floor(place)], at[c][math.ceil(place)], place % 1) for place in places[c]]
     return {c: found[c] for c in columns}
 
 
+def _between(low: float, high: float, share: float) -> float:
+    return low + (high - low) * share
+
+
 def _percentiles(values: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> dict[str, list[float] | None]:
     wanted = F.array(*[F.lit(float(p)) for p in probs])
     row = values.agg(*[F.percentile(c, wanted).alias(c) for c in columns]).first()
     return {c: row[c] for c in columns}
 
 
-def _interpolate(column: DataFrame, n: int, lo: float, hi: float, probs: Sequence[float],
-                 cells: int) -> list[float]:
-    places = [(n - 1) * p for p in probs]
-    ranks = {r for place in places for r in (math.floor(place), math.ceil(place))}
-    at = _values_at_ranks(column, ranks, lo, hi, cells)
-    result = []
-    for place in places:
-        low, high = at[math.floor(place)], at[math.ceil(place)]
-        result.append(low + (high - low) * (place - math.floor(place)))
-    return result
-
-
-def _values_at_ranks(column: DataFrame, ranks: set[int], lo: float, hi: float, cells: int) -> dict[int, float]:
-    """The values at the given 0-based ranks of the sorted column.
+def _values_at_ranks(values: DataFrame, ranks: dict[str, set[int]], ends: dict[str, tuple[float, float]],
+                     cells: int) -> dict[str, dict[int, float]]:
+    """The values at the given 0-based ranks of each sorted column.
 
     Each rank has a bracket of values that must hold it, at first the whole
     column. One pass counts the rows in equal cells of every open bracket (at
     most ``cells`` rows per rank come back); the bracket shrinks to the real
     minimum and maximum of the cell that holds the rank, and is done when they
     are equal. The ends of a bracket fall in different cells, so every pass
-    shrinks it; each pass divides the rows left by about ``cells``.
+    shrinks it; each pass divides the rows left by about ``cells``. All columns
+    share the passes.
     """
-    if not math.isfinite(hi - lo):
+    if not all(math.isfinite(hi - lo) for lo, hi in ends.values()):
         raise ValueError("quantiles need finite values")
-    brackets = {rank: (lo, hi, 0) for rank in ranks}
+    # bracket: column, smallest value, largest value, rows of the column below it
+    brackets = {(c, rank): (c, *ends[c], 0) for c in ranks for rank in ranks[c]}
     while True:
-        open_brackets = sorted({b for b in brackets.values() if b[0] < b[1]})
-        if not open_brackets:
-            return {rank: b[0] for rank, b in brackets.items()}
-        inside, bracket_no, cell_no = F.lit(False), F.lit(None).cast("int"), F.lit(None).cast("int")
-        for i, (low, high, _) in enumerate(open_brackets):
-            here = F.col("v").between(low, high)
-            cell = F.least(F.floor((F.col("v") - low) / (high - low) * cells).cast("int"), F.lit(cells - 1))
-            inside = inside | here
-            bracket_no = F.when(here, i).otherwise(bracket_no)
-            cell_no = F.when(here, cell).otherwise(cell_no)
-        counted = (column.where(inside).groupBy(bracket_no.alias("bracket"), cell_no.alias("cell"))
-                   .agg(F.count("*").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
-                   .collect())
-        counted.sort(key=lambda r: (r["bracket"], r["cell"]))
-        narrowed = {}
-        for rank, bracket in brackets.items():
-            narrowed[rank] = bracket
-            if bracket[0] == bracket[1]:
-                continue
-            below = bracket[2]
-            for row in counted:
-                if row["bracket"] != open_brackets.index(bracket):
-                    continue
-                if rank < below + row["n"]:
-                    narrowed[rank] = (row["lo"], row["hi"], below)
-                    break
-                below += row["n"]
-        brackets = narrowed
+        wanted = sorted({b for b in brackets.values() if b[1] < b[2]})
+        if not wanted:
+            return {c: {rank: brackets[c, rank][1] for rank in ranks[c]} for c in ranks}
+        cell_counts = _count_cells(values, wanted, cells)
+        for key, bracket in brackets.items():
+            if bracket in cell_counts:
+                below = bracket[3]
+                for row in cell_counts[bracket]:
+                    if key[1] < below + row["n"]:
+                        brackets[key] = (bracket[0], row["lo"], row["hi"], below)
+                        break
+                    below += row["n"]
+
+
+def _count_cells(values: DataFrame, brackets: list[tuple[str, float, float, int]], cells: int) -> dict:
+    """Per bracket its non-empty cells in order, with row count and extreme values."""
+    columns = sorted({b[0] for b in brackets})
+    if len(columns) == 1:
+        # reaches the scan, which then skips what lies outside all brackets
+        values = values.where(F.col(columns[0]).between(min(b[1] for b in brackets), max(b[2] for b in brackets)))
+    places = []
+    for c in columns:
+        bracket_no, cell_no = F.lit(None).cast("int"), F.lit(None).cast("int")
+        for i, (name, low, high, _) in enumerate(brackets):
+            if name == c:
+                here = F.col(c).between(low, high)
+                cell = F.least(F.floor((F.col(c) - low) / (high - low) * cells).cast("int"), F.lit(cells - 1))
+                bracket_no, cell_no = F.when(here, i).otherwise(bracket_no), F.when(here, cell).otherwise(cell_no)
+        places.append(F.struct(bracket_no.alias("bracket"), cell_no.alias("cell"), F.col(c).alias("v")))
+    placed = values.select(F.inline(F.array(*places))) if len(places) > 1 else values.select(
+        places[0].alias("p")).select("p.*")
+    rows = (placed.where("bracket IS NOT NULL").groupBy("bracket", "cell")
+            .agg(F.count("*").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).collect())
+    found: dict = {b: [] for b in brackets}
+    for row in sorted(rows, key=lambda r: (r["bracket"], r["cell"])):
+        found[brackets[row["bracket"]]].append(row)
+    return found

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
@@ -51,7 +51,7 @@ class HotKeys:
     route_hour: Sequence[int] = ()
     origin_hour: Sequence[int] = ()
     destination_hour: Sequence[int] = ()
-    trip: Sequence[int] = field(default=())
+    trip: Sequence[int] = ()
 
 
 def hot_trip_keys(tables: Tables, min_rows: int = HOT_MIN_ROWS, rows: int | None = None) -> HotKeys:

@@ -47,7 +47,7 @@ def build_frames(wide: DataFrame, train_until: str = TRAIN_UNTIL, valid_until: s
                  time_column: str = "estimated_arrival") -> Frames:
     """Split by time, encode and scale all three parts with what train holds.
 
-    The parts are written to the checkpoint folder: every fit and evaluation
+    The parts are written to the shared folder: every fit and evaluation
     reads them, none should repeat the joins and encodings behind them.
     """
     parts = split_by_time(wide, time_column, train_until, valid_until)

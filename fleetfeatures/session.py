@@ -53,8 +53,11 @@ def scratch_folder(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: lost executors cannot change what was computed."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_folder(df.sparkSession))
-    return df.checkpoint()
+    """Write the frame to the shared folder and read it back.
+
+    Lost executors then cannot change what was computed, and later passes read
+    only the columns and row groups they need.
+    """
+    path = scratch_folder(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
