@@ -34,6 +34,12 @@ DEDUPE_KEYS = {
     "routes_table": ["route_id", "destination_id", "origin_id"],
     "truck_schedule_table": ["truck_id", "route_id", "departure_date"],
 }
+TIME_COLUMNS = {
+    "city_weather": ["date"],
+    "routes_weather": ["date"],
+    "traffic_table": ["date"],
+    "truck_schedule_table": ["departure_date", "estimated_arrival"],
+}
 CHANCE_COLUMNS = ["chanceofrain", "chanceoffog", "chanceofsnow", "chanceofthunder"]
 WEATHER_MEASURES = ["temp", "wind_speed", "precip", "humidity", "visibility", "pressure"]
 PAIR_KEYS = ["truck_id", "route_id"]

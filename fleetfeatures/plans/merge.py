@@ -14,11 +14,18 @@ from fleetfeatures.constants import (
     HELPER_JOIN_COLUMNS,
     PAIR_KEYS,
     SUFFIX_PATTERNS,
+    TIME_COLUMNS,
     TRIP_KEYS,
     WIDE_EVENT_TIME,
     WIDE_RENAMES,
 )
-from fleetfeatures.functions.timegrid import as_utc, crosses_midnight, round_hour, timestamp_literal
+from fleetfeatures.functions.timegrid import (
+    as_utc,
+    crosses_midnight,
+    parse_timestamp,
+    round_hour,
+    timestamp_literal,
+)
 from fleetfeatures.operators.aggregates import (
     route_weather_means,
     traffic_by_hour,
@@ -64,7 +71,7 @@ def hot_trip_keys(tables: Tables, min_rows: int = HOT_MIN_ROWS, rows: int | None
     schedule = tables["truck_schedule_table"]
     if (schedule.count() if rows is None else rows) < min_rows:
         return HotKeys()
-    schedule = utc_columns(schedule.select(*TRIP_KEYS))
+    schedule = parse_times(utc_columns(schedule.select(*TRIP_KEYS)), TIME_COLUMNS["truck_schedule_table"])
     trips = hot_key_sets(schedule, {"pair": PAIR_KEYS, "route": ["route_id"], "truck": ["truck_id"],
                                     "trip": TRIP_KEYS}, min_rows=min_rows)
     slots = hot_key_sets(six_hour_slots(schedule), {"route_slot": ["route_id", "date"]}, min_rows=min_rows)
@@ -84,7 +91,7 @@ def prepare_tables(tables: Tables, order_by: Mapping[str, Sequence[str]] | Seque
     Row numbers and event times go after the duplicates, which they order.
     """
     order = set().union(*order_by.values()) if isinstance(order_by, Mapping) else set(order_by)
-    prepared = {name: utc_columns(df) for name, df in tables.items()}
+    prepared = {name: parse_times(utc_columns(df), TIME_COLUMNS.get(name, ())) for name, df in tables.items()}
     # what no order needs goes before the duplicates, so that it is not shuffled with them
     prepared = drop_by_table(prepared, {t: CHANCE_COLUMNS for t in ("city_weather", "routes_weather")})
     prepared = drop_from_all(prepared, [c for c in BOOKKEEPING_COLUMNS if c not in order])
@@ -99,6 +106,12 @@ def utc_columns(df: DataFrame) -> DataFrame:
     return df.withColumns({c: as_utc(c) for c in naive}) if naive else df
 
 
+def parse_times(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """T1 on a table: times still held as text are read, unreadable ones become null."""
+    text = [c for c, kind in df.dtypes if kind == "string" and c in columns]
+    return df.withColumns({c: parse_timestamp(c) for c in text}) if text else df
+
+
 def add_nearest_hours(schedule: DataFrame) -> DataFrame:
     """Both trip times at their nearest hour, as new columns."""
     return schedule.withColumns({
