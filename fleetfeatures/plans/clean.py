@@ -62,6 +62,6 @@ def store_clean_tables(tables: Mapping[str, DataFrame], location: str, *, versio
             df = df.toDF(*[c.lower() for c in df.columns])
             stored.append(write_feature_table(
                 df, name, version, location, primary_key=["rowindex"], event_time="eventtime",
-                description=f"Features for {name}", database=database,
+                description=f"Features for {name}", database=database, keys_unique=True,
                 comments={c.lower(): text for c, text in column_comments(name).items()}))
     return stored

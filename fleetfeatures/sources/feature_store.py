@@ -36,13 +36,14 @@ def stamp_event_time(df: DataFrame, column: str = "eventtime", value: Column | s
     return df.withColumn(column, timestamp_literal(stamp) if isinstance(stamp, str) else stamp)
 
 
-def upsert(old: DataFrame, new: DataFrame, keys: Sequence[str], event_time: str) -> DataFrame:
+def upsert(old: DataFrame, new: DataFrame, keys: Sequence[str], event_time: str, *,
+           keys_unique: bool = False) -> DataFrame:
     """One row per key, the one with the latest event time; of equal times the new row wins.
 
     Only old rows whose key is in ``new`` take part in the comparison. A small
     ``new`` is broadcast by its size, and the other old rows pass unshuffled.
     """
-    incoming = latest_per_key(new, keys, [event_time])
+    incoming = new if keys_unique else latest_per_key(new, keys, [event_time])
     incoming_keys = incoming.select(*keys)
     touched = join_on(old, incoming_keys, list(keys), "left_semi")
     rival = touched.withColumn("__new", F.lit(0)).unionByName(
@@ -54,14 +55,20 @@ def upsert(old: DataFrame, new: DataFrame, keys: Sequence[str], event_time: str)
 
 def write_feature_table(df: DataFrame, name: str, version: int, location: str, *, primary_key: Sequence[str],
                         event_time: str, description: str = "", comments: Mapping[str, str] | None = None,
-                        database: str = "default") -> str:
-    """Create the table below ``location``, or upsert into it if it exists. Returns its catalog name."""
+                        keys_unique: bool = False, database: str = "default") -> str:
+    """Create the table below ``location``, or upsert into it if it exists. Returns its catalog name.
+
+    ``keys_unique`` says that ``df`` has one row per key (as after numbering);
+    it is then written as it is partitioned and sorted, without a shuffle.
+    """
     spark = df.sparkSession
     table = table_of(name, version, database)
     folder = f"{location.rstrip('/')}/{name}_v{version}/{uuid.uuid4().hex}"
     exists = spark.catalog.tableExists(table)
-    rows = upsert(spark.table(table), df, primary_key, event_time) if exists else latest_per_key(
-        df, primary_key, [event_time])
+    if exists:
+        rows = upsert(spark.table(table), df, primary_key, event_time, keys_unique=keys_unique)
+    else:
+        rows = df if keys_unique else latest_per_key(df, primary_key, [event_time])
     with_comments(rows, dict(comments or {})).write.parquet(folder)
     if exists:
         spark.sql(f"ALTER TABLE {table} SET LOCATION '{folder}'")

@@ -40,7 +40,7 @@ def test_csv_to_scores(spark, sf, tmp_path):
     assert sorted(stored) == sorted(TABLES) and "date" in stored["routes_weather"].columns
     wide = merge.wide_trips(stored)
     feature_store.write_feature_table(wide, "final_merge_df", 1, str(tmp_path / "features"),
-                                      primary_key=["unique_id"], event_time="event_time", database="fleet")
+                                      primary_key=["unique_id"], event_time="event_time", keys_unique=True, database="fleet")
     wide = feature_store.read_feature_table(spark, "final_merge_df", 1, "fleet")
     rows = wide.count()
     assert rows > 20 and wide.select("unique_id").distinct().count() == rows
