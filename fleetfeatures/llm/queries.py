@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from fleetfeatures.llm import quality
+from fleetfeatures.llm import html, mixing, quality
 from fleetfeatures.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +25,17 @@ def _register(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return add
 
 
+@_register("op1_html_extraction")
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    return html.extract_pages(table(spark, folder, "pages"))
+
+
+@_register("op2_source_mixing", mixing.SQL)
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    docs = mixing.with_quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
+    return mixing.mix(docs, F.col("quality_weight"))
+
+
 @_register("op4_quality_rules", quality.SQL)
 def op4(spark: SparkSession, folder: str) -> DataFrame:
     return quality.quality_report(table(spark, folder, "documents"))
