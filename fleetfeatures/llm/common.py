@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,6 +27,21 @@ def shared_path(spark: SparkSession) -> str:
     return f"{folder.rstrip('/')}/llm-{uuid.uuid4().hex}"
 
 
+def ship(spark: SparkSession) -> None:
+    """Give the executors this package's modules, once per application: Python tasks import them by name."""
+    context = spark.sparkContext
+    if getattr(context, "_llm_shipped", False):
+        return
+    package = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="llm-")) / "fleetfeatures_llm.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        out.write(package.parent / "__init__.py", "fleetfeatures/__init__.py")
+        for module in sorted(package.glob("*.py")):
+            out.write(module, f"fleetfeatures/llm/{module.name}")
+    context.addPyFile(str(archive))
+    context._llm_shipped = True
+
+
 def written(df: DataFrame, path: str | None = None) -> DataFrame:
     """The frame, written to the shared folder and read back: lost executors cannot change it, readers take only the columns they use."""
     path = path or shared_path(df.sparkSession)
@@ -40,11 +56,6 @@ def remove(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
-def path_of(df: DataFrame) -> str:
-    """The folder of a frame made by ``written``."""
-    return os.path.dirname(df.inputFiles()[0]) if df.inputFiles() else ""
-
-
 def blanks_to_space(text: Column) -> Column:
     return F.translate(text, _BLANKS, " " * len(_BLANKS))
 

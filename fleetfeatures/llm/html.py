@@ -25,6 +25,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fleetfeatures.llm.common import ship
+
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span "
@@ -197,6 +199,7 @@ def _extract(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
 
 def extract_pages(pages: DataFrame) -> DataFrame:
     """page_id, url, text and n_chars (code points) of every page."""
+    ship(pages.sparkSession)
     text = F.pandas_udf(_extract, "string")
     return (pages.select("page_id", "url", text(F.coalesce("html", F.lit(""))).alias("text"))
             .withColumn("n_chars", F.length("text").cast("long")))

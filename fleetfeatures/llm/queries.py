@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetfeatures.llm import html, mixing, quality
-from fleetfeatures.llm.common import table
+from fleetfeatures.llm import html, mixing, packing, quality, tokencounts
+from fleetfeatures.llm.common import shared_path, table
+from fleetfeatures.llm.tokens import tokenizer_file
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -36,6 +37,16 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(docs, F.col("quality_weight"))
 
 
+@_register("op3_token_counts")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    return tokencounts.maintained_counts(table(spark, folder, "documents"), shared_path(spark))
+
+
 @_register("op4_quality_rules", quality.SQL)
 def op4(spark: SparkSession, folder: str) -> DataFrame:
     return quality.quality_report(table(spark, folder, "documents"))
+
+
+@_register("op8_best_fit_packing")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack_documents(table(spark, folder, "documents"), tokenizer_file("word_bpe_49k.json"))
