@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetfeatures.llm import html, mixing, packing, quality, tokencounts
-from fleetfeatures.llm.common import shared_path, table
+from fleetfeatures.llm import chat, html, mixing, mtree, packing, quality, tokencounts
+from fleetfeatures.llm.common import shared_path, table, written
 from fleetfeatures.llm.tokens import tokenizer_file
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,6 +47,18 @@ def op4(spark: SparkSession, folder: str) -> DataFrame:
     return quality.quality_report(table(spark, folder, "documents"))
 
 
+@_register("op7_exact_top_k", mtree.SQL)
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    return mtree.top_k(table(spark, folder, "embeddings"))
+
+
 @_register("op8_best_fit_packing")
 def op8(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(table(spark, folder, "documents"), tokenizer_file("word_bpe_49k.json"))
+
+
+@_register("op9_chat_formatting", chat.SQL)
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    file = tokenizer_file("byte_bpe_50k.tiktoken")
+    turns = chat.with_probe(spark, table(spark, folder, "conversations"))
+    return chat.digests(written(chat.build_packs(turns, file)), file)
