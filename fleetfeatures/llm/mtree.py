@@ -226,10 +226,10 @@ def _distances(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 
 SQL = f"""
-WITH v AS (SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, x -> floor(x::DOUBLE * {SCALE})) AS e FROM embeddings
-           WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+WITH v AS (SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(x::DOUBLE * {SCALE})) AS e FROM embeddings
+           WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 s AS (SELECT q.r, q.vec_id AS query_id, c.vec_id, list_sum(list_transform(list_zip(q.e, c.e),
-             p -> coalesce(p[1], 0) * coalesce(p[2], 0)))::BIGINT AS score
+             lambda p: coalesce(p[1], 0) * coalesce(p[2], 0)))::BIGINT AS score
       FROM v q, v c WHERE q.vec_id % 50 = 0 AND c.vec_id IS DISTINCT FROM q.vec_id),
 o AS (SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id NULLS LAST)::INT AS rank FROM s)
 SELECT query_id, rank, vec_id, score FROM o WHERE rank <= {K}"""
