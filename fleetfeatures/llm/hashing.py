@@ -28,6 +28,19 @@ def powers(n: int) -> np.ndarray:
     return _powers[:n]
 
 
+_inverses = np.ones(1, U)
+
+
+def inverse_powers(n: int) -> np.ndarray:
+    """base^0, base^-1, .. modulo 2^64 (the base is odd)."""
+    global _inverses
+    if len(_inverses) < n:
+        steps = np.full(max(n, 2 * len(_inverses)), pow(_BASE, -1, 2 ** 64), U)
+        steps[0] = 1
+        _inverses = np.multiply.accumulate(steps)
+    return _inverses[:n]
+
+
 _BLANK = np.zeros(256, bool)
 _BLANK[[0x20, *range(0x09, 0x0E)]] = True
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetfeatures.llm import chat, html, minhash, mixing, mtree, packing, quality, tokencounts
+from fleetfeatures.llm import chat, html, minhash, mixing, mtree, packing, quality, suffix, tokencounts
 from fleetfeatures.llm.common import shared_path, table, written
 from fleetfeatures.llm.tokens import tokenizer_file
 
@@ -47,6 +47,11 @@ def op4(spark: SparkSession, folder: str) -> DataFrame:
     return quality.quality_report(table(spark, folder, "documents"))
 
 
+@_register("op5_long_repeats")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix.repeat_report(table(spark, folder, "documents"))
+
+
 @_register("op6_minhash_near_dedup")
 def op6(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.class_report(table(spark, folder, "documents"))
