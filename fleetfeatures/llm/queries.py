@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetfeatures.llm import chat, html, minhash, mixing, mtree, packing, quality, suffix, tokencounts
+from fleetfeatures.llm import chat, html, linededup, minhash, mixing, mtree, packing, quality, suffix, tokencounts
 from fleetfeatures.llm.common import shared_path, table, written
 from fleetfeatures.llm.tokens import tokenizer_file
 
@@ -72,3 +72,8 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
     file = tokenizer_file("byte_bpe_50k.tiktoken")
     turns = chat.with_probe(spark, table(spark, folder, "conversations"))
     return chat.digests(written(chat.build_packs(turns, file)), file)
+
+
+@_register("op10_line_dedup", linededup.SQL)
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    return linededup.line_report(table(spark, folder, "documents"))
