@@ -49,6 +49,11 @@ def written(df: DataFrame, path: str | None = None) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small(df: DataFrame, most: int = 10_000) -> DataFrame:
+    """The frame, to be broadcast if it has few rows; else joined as Spark sees fit."""
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a scratch table of ours that nothing reads any more."""
     jvm = spark.sparkContext._jvm

@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fleetfeatures.llm.common import WORD, written
+from fleetfeatures.llm.common import WORD, small, written
 
 SHARE = 1.5
 MOST = 2
@@ -68,11 +68,14 @@ def source_targets(sizes: DataFrame) -> DataFrame:
             (F.lit(MOST) * F.col("source_size")).cast("double"), F.col("first_free") * F.col("weight")).alias("target"))
 
 
-def slim_rows(docs: DataFrame, weight: Column) -> DataFrame:
-    """doc_id, source, size, key and digest of documents; ``weight`` is a column of theirs."""
+def slim_rows(docs: DataFrame) -> DataFrame:
+    """doc_id, source, size and digest of documents; texts go no further."""
     return docs.select("doc_id", "source", size_of(F.col("text")).alias("size"),
-                       digest_of(F.col("doc_id"), F.col("text")).alias("digest"), weight.alias("weight")).select(
-        "doc_id", "source", "size", "digest", exponential_key(F.col("digest"), F.col("weight")).alias("key"))
+                       digest_of(F.col("doc_id"), F.col("text")).alias("digest"))
+
+
+def keyed(slim: DataFrame, weight: Column) -> DataFrame:
+    return slim.select("doc_id", "source", "size", "digest", exponential_key(F.col("digest"), weight).alias("key"))
 
 
 def sliced_rows(slim: DataFrame) -> DataFrame:
@@ -118,10 +121,11 @@ def copies() -> Column:
         (F.struct("key", "digest") <= F.col("plan_cut")).cast("int"), F.lit(0))
 
 
-def mix(docs: DataFrame, weight: Column | None = None) -> DataFrame:
+def mix(docs: DataFrame, labels: DataFrame | None = None) -> DataFrame:
     """doc_id, source, size, source_size, target and taken (words, repeats counted) of every document."""
-    sliced = sliced_rows(slim_rows(docs, F.lit(1.0) if weight is None else weight))
-    joined = sliced.join(times(source_plan(sliced)), F.col("source").eqNullSafe(F.col("plan_source")))
+    slim = slim_rows(docs)
+    sliced = sliced_rows(keyed(slim, F.lit(1.0)) if labels is None else keyed(with_quality(slim, labels), F.col("weight")))
+    joined = sliced.join(small(times(written(source_plan(sliced)))), F.col("source").eqNullSafe(F.col("plan_source")))
     return joined.select("doc_id", "source", "size", F.col("plan_source_size").alias("source_size"),
                          F.col("plan_target").alias("target"), (copies() * F.col("size")).cast("long").alias("taken"))
 
@@ -131,22 +135,21 @@ def mix_rows(docs: DataFrame) -> DataFrame:
 
     Whether a row is in depends on its source's plan alone, so texts are not shuffled.
     """
-    plan = written(source_plan(sliced_rows(slim_rows(docs, F.lit(1.0)))))
+    plan = written(source_plan(sliced_rows(keyed(slim_rows(docs), F.lit(1.0)))))
     digest = digest_of(F.col("row.doc_id"), F.col("row.text"))
     rows = docs.select(F.struct("*").alias("row")).select("row", digest.alias("digest")).withColumn(
         "key", exponential_key(F.col("digest"), F.lit(1.0)))
-    joined = rows.join(times(plan), F.col("row.source").eqNullSafe(F.col("plan_source")))
+    joined = rows.join(small(times(plan)), F.col("row.source").eqNullSafe(F.col("plan_source")))
     repeated = joined.withColumn("again", F.explode(F.array_repeat(F.lit(1), copies().cast("int"))))
     return repeated.select(*[F.col("row")[c].alias(c) for c in docs.columns])
 
 
-def with_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents with a quality weight from labels: 2 good, 0.5 poor, 1 not labelled (the best label counts)."""
+def with_quality(slim: DataFrame, labels: DataFrame) -> DataFrame:
+    """Slim rows with a quality weight from labels: 2 good, 0.5 poor, 1 not labelled (the best label counts)."""
     rated = labels.filter("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("l_doc_id")).agg(
         F.max("quality").alias("quality"))
     weight = F.when(F.col("quality") == 1, 2.0).when(F.col("quality") == 0, 0.5).otherwise(1.0)
-    return docs.select("doc_id", "source", "text").join(rated, F.col("doc_id") == F.col("l_doc_id"), "left").withColumn(
-        "quality_weight", weight)
+    return slim.join(rated, F.col("doc_id") == F.col("l_doc_id"), "left").withColumn("weight", weight)
 
 
 #: Steps of check SQL from a table ``d`` (doc_id, source, size, weight) to ``mixed``.

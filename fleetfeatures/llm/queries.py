@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from fleetfeatures.llm import chat, html, linededup, minhash, mixing, mtree, packing, quality, suffix, tokencounts
 from fleetfeatures.llm.common import shared_path, table, written
@@ -33,8 +32,7 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
 
 @_register("op2_source_mixing", mixing.SQL)
 def op2(spark: SparkSession, folder: str) -> DataFrame:
-    docs = mixing.with_quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
-    return mixing.mix(docs, F.col("quality_weight"))
+    return mixing.mix(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
 @_register("op3_token_counts")
