@@ -91,7 +91,7 @@ def measured(df: DataFrame, text: str = "text") -> DataFrame:
     kept = ~F.col("base_failed") & F.coalesce(
         (F.col("word_chars") - left) * 10 <= F.col("word_chars") * int(MOST_LOST * 10), F.lit(False))
     return rows.select("row", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
-                       kept.alias("kept"), clean.alias("clean"))
+                       kept.alias("kept"), clean.alias("clean"), F.monotonically_increasing_id().alias("place"))
 
 
 def quality_report(df: DataFrame) -> DataFrame:
@@ -102,7 +102,8 @@ def quality_report(df: DataFrame) -> DataFrame:
 
 def clean_documents(df: DataFrame, text: str = "text", n_chars: str = "n_chars") -> DataFrame:
     """The documents that pass, without their failing lines; columns as they came."""
-    good = measured(df, text).filter("kept")
+    # the place keeps the filter above the projections, whose columns would else be computed anew for each element
+    good = measured(df, text).filter("kept AND place >= 0")
     fixed = {text: F.col("clean"), n_chars: F.length("clean").cast("long")}
     return good.select(*[(fixed[c] if c in fixed else F.col("row")[c]).alias(c) for c in df.columns])
 
