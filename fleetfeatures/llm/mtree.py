@@ -87,7 +87,7 @@ class Page:
         up = self.up[rows]
         centre = up.mean(axis=0)
         away = np.linalg.norm(up - centre, axis=1)
-        if len(rows) <= FANOUT or away.max() == 0.0:
+        if len(rows) <= FANOUT or not (self.x[rows] != self.x[rows[0]]).any():
             return centre, away.max(initial=0.0), rows, away, None
         seeds = [int(away.argmax())]
         nearest = np.linalg.norm(up - up[seeds[0]], axis=1)
@@ -97,6 +97,8 @@ class Page:
             d = np.linalg.norm(up - up[seeds[-1]], axis=1)
             closer = d < nearest
             nearest[closer], group[closer] = d[closer], len(seeds) - 1
+        if len(seeds) == 1:
+            return centre, away.max(), rows, away, None
         children = [self._node(rows[group == g]) for g in range(len(seeds)) if (group == g).any()]
         centres = np.array([c[0] for c in children])
         return (centre, away.max(), children, np.linalg.norm(centres - centre, axis=1), (centres, np.array([c[1] for c in children])))
