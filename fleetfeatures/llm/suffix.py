@@ -182,7 +182,8 @@ def repeated_suffixes(docs: DataFrame, batches: int = BATCHES) -> DataFrame:
     for k in range(batches):
         found = written(index.append(suffixes(bodies.filter(F.pmod(F.xxhash64("row"), F.lit(batches)) == k))))
         keys = found if keys is None else keys.unionAll(found)
-    rows = written(index.rows().join(keys.distinct(), "key"))
+    # written first: a join on what was summed by the same key could not be split where a key is common
+    rows = written(index.rows().join(written(keys.distinct()), "key"))
     index.drop()
     return rows
 
