@@ -11,8 +11,8 @@ probability of their weighted Jaccard similarity. Ranks are searched up to about
 Coordinates are banded; documents that share a band meet in its bucket. Pairs in
 a bucket are not all formed: first each document is compared with one leader of
 its buckets, then with each bucket's leader where that is in another component,
-then what is still apart inside a bucket with each other, until nothing new can
-be linked. Each comparison is exact (Jaccard similarity of the shingle sets at
+then what is still apart inside a bucket and may be similar by the
+number of shingles that no other candidate has. Each comparison is exact (Jaccard similarity of the shingle sets at
 least ``SIMILARITY``). Components of links are the classes.
 
 A pair of similarity 0.8 shares none of the 25 bands of 5 coordinates with
@@ -148,6 +148,20 @@ def _pairs(rows: DataFrame, a: str, b: str) -> DataFrame:
     return rows.filter(F.col(a) != F.col(b)).select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).distinct()
 
 
+def _own_parts(sets: DataFrame, nodes: DataFrame) -> DataFrame:
+    """For nodes: how many shingles only they have among ``nodes`` (own), and how many others have too (common).
+
+    Two sets share at most the lesser of their common parts, and together hold both own parts and at least the greater
+    common part: a bound that rules out pairs of distant copies of one text, of which a bucket may hold very many.
+    """
+    held = sets.join(nodes, "node", "left_semi")
+    single = held.select("node", F.explode("shingles").alias("shingle")).groupBy("shingle").agg(
+        F.count("*").alias("n"), F.min("node").alias("node")).filter("n = 1")
+    own = single.groupBy("node").agg(F.count("*").alias("own"))
+    sizes = held.select("node", F.size("shingles").alias("n")).join(own, "node", "left").na.fill(0, ["own"])
+    return sizes.select("node", "own", (F.col("n") - F.col("own")).alias("common"))
+
+
 def linked_nodes(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     """(node, component) for ``nodes`` (node, bands) that have a similar partner."""
     spread = nodes.select("node", F.explode("bands").alias("bucket"))
@@ -168,8 +182,14 @@ def linked_nodes(docs: DataFrame, nodes: DataFrame) -> DataFrame:
         apart = apart.filter("lo < hi").select("bucket")
         placed = placed.join(apart, "bucket", "left_semi")
         if last:
-            other = placed.select("bucket", F.col("node").alias("b"), F.col("component").alias("c"))
-            pairs = placed.join(other, "bucket").filter("component < c").select(F.col("node").alias("leader"), F.col("b").alias("node"))
+            one = placed.select("node", "bucket", "component").join(_own_parts(sets, placed.select("node").distinct()), "node")
+            other = one.select("bucket", F.col("node").alias("b"), F.col("component").alias("c"), F.col("common").alias("b_common"),
+                               F.col("own").alias("b_own"))
+            most = F.least("common", "b_common")
+            pairs = one.join(other, "bucket").filter(
+                (F.col("component") < F.col("c"))
+                & (most >= SIMILARITY * (F.col("own") + F.col("b_own") + F.greatest("common", "b_common")))).select(
+                F.col("node").alias("leader"), F.col("b").alias("node"))
         else:
             owners = parts.select(F.col("node").alias("own"), F.col("component").alias("c"))
             pairs = placed.join(owners, "own", "left").filter(
