@@ -30,16 +30,15 @@ def drop_rename(spark: SparkSession, folder: str) -> DataFrame:
 @register("suffix_rename", with_views("routes cityw", """
 SELECT r.route_id, o.rowindex AS rowindex_origin, d.rowindex AS rowindex_destination, o.temp AS temp_origin,
        d.temp AS temp_destination, o.description AS origin_description, d.description AS destination_description
-FROM routes r JOIN cityw o ON r.origin_id = o.city_id AND o.date = TIMESTAMP '2024-01-03 00:00:00'
-JOIN cityw d ON r.destination_id = d.city_id AND d.date = TIMESTAMP '2024-01-03 00:00:00'"""))
+FROM routes r JOIN cityw o ON r.origin_id = o.city_id
+JOIN cityw d ON r.destination_id = d.city_id AND d.date = o.date"""))
 def suffix_rename(spark: SparkSession, folder: str) -> DataFrame:
-    day = view(spark, folder, "cityw").where("date = TIMESTAMP '2024-01-03 00:00:00'")
-    day = day.select("rowindex", "city_id", "temp", "description")
+    hours = view(spark, folder, "cityw").select("rowindex", "city_id", "date", "temp", "description")
     routes = view(spark, folder, "routes").select("route_id", "origin_id", "destination_id")
-    first = merge.join_on(routes, day, [("origin_id", "city_id")], "inner")
-    both = merge.join_on(first, day, [("destination_id", "city_id")], "inner", suffixes=("_x", "_y"))
+    first = merge.join_on(routes, hours, [("origin_id", "city_id")], "inner")
+    both = merge.join_on(first, hours, [("destination_id", "city_id"), "date"], "inner", suffixes=("_x", "_y"))
     named = columns.rename_by_map(columns.rename_by_pattern(both, SUFFIX_PATTERNS), WIDE_RENAMES)
-    return named.drop("city_id_origin", "city_id_destination", "origin_id", "destination_id")
+    return named.drop("city_id_origin", "city_id_destination", "origin_id", "destination_id", "date")
 
 
 @register("available_cols", with_views("sched", "SELECT truck_id, estimated_arrival, delay FROM sched"))

@@ -35,6 +35,29 @@ def csv_inferred(spark: SparkSession, folder: str) -> DataFrame:
     return files.read_csv(spark, path)
 
 
+@register("csv_reordered", "SELECT o_orderkey, o_custkey, o_totalprice, o_orderpriority FROM orders")
+def csv_reordered(spark: SparkSession, folder: str) -> DataFrame:
+    """Columns in another order and case, after one that the schema lacks."""
+    orders, path = table(spark, folder, "orders"), scratch_folder(spark)
+    shuffled = orders.select(F.monotonically_increasing_id().alias("id"), F.col("o_totalprice").alias("O_TOTALPRICE"),
+                             "o_orderpriority", "o_custkey", "o_orderkey", "o_orderstatus")
+    files.write_csv(shuffled, path)
+    return files.read_csv(spark, path, orders.select("o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority").schema)
+
+
+@register("csv_missing_words", """
+SELECT c_custkey::INT AS c_custkey, CASE WHEN c_custkey % 5 <> 0 THEN c_mktsegment END AS c_mktsegment,
+       CASE WHEN c_custkey % 3 <> 0 THEN c_acctbal END AS c_acctbal FROM customer""")
+def csv_missing_words(spark: SparkSession, folder: str) -> DataFrame:
+    """Types inferred beside words that stand for missing values."""
+    customer, path = table(spark, folder, "customer"), scratch_folder(spark)
+    key = F.col("c_custkey")
+    files.write_csv(customer.select(
+        "c_custkey", F.when(key % 10 == 0, "N/A").when(key % 5 == 0, "null").otherwise(F.col("c_mktsegment")).alias("c_mktsegment"),
+        F.when(key % 3 == 0, "NA").otherwise(F.col("c_acctbal").cast("string")).alias("c_acctbal")), path)
+    return files.read_csv(spark, path)
+
+
 @register("csv_landed", """
 SELECT 'orders' AS table_name, o_orderkey AS row_key, o_totalprice AS amount FROM orders
 UNION ALL SELECT 'supplier', s_suppkey, s_acctbal FROM supplier""")
@@ -144,6 +167,38 @@ def upsert_latest(spark: SparkSession, folder: str) -> DataFrame:
     return plain_times(spark.table(name))
 
 
+@register("upsert_new_column", """
+SELECT s_suppkey, s_acctbal, TIMESTAMP '2024-02-01 00:00:00' AS eventtime,
+       CASE WHEN s_acctbal > 5000 THEN s_name END AS nick FROM supplier WHERE s_acctbal > 5000
+UNION ALL SELECT s_suppkey, s_acctbal, TIMESTAMP '2024-01-01 00:00:00', NULL FROM supplier WHERE s_acctbal <= 5000""")
+def upsert_new_column(spark: SparkSession, folder: str) -> DataFrame:
+    """A batch brings a column that the table lacks."""
+    database, path = _new_database(spark)
+    options = {"primary_key": ["s_suppkey"], "event_time": "eventtime", "database": database}
+    supplier, stamp = table(spark, folder, "supplier"), feature_store.stamp_event_time
+    feature_store.write_feature_table(
+        stamp(supplier.select("s_suppkey", "s_acctbal"), value="2024-01-01 00:00:00"), "supplier", 1, path, **options)
+    late = supplier.where("s_acctbal > 5000").select("s_suppkey", "s_acctbal", F.col("s_name").alias("nick"))
+    name = feature_store.write_feature_table(stamp(late, value="2024-02-01 00:00:00"), "supplier", 1, path, **options)
+    return plain_times(spark.table(name))
+
+
+@register("upsert_widened_type", """
+SELECT s_suppkey, CASE WHEN s_acctbal > 5000 THEN s_nationkey + 0.5::DOUBLE ELSE s_nationkey::DOUBLE END AS n FROM supplier""")
+def upsert_widened_type(spark: SparkSession, folder: str) -> DataFrame:
+    """Whole numbers in the table, doubles in the batch; a second batch of whole numbers changes nothing."""
+    database, path = _new_database(spark)
+    options = {"primary_key": ["s_suppkey"], "event_time": "eventtime", "database": database}
+    supplier, stamp = table(spark, folder, "supplier"), feature_store.stamp_event_time
+    whole = supplier.select("s_suppkey", F.col("s_nationkey").cast("int").alias("n"))
+    feature_store.write_feature_table(stamp(whole, value="2024-01-01 00:00:00"), "supplier", 1, path, **options)
+    wide = supplier.where("s_acctbal > 5000").select("s_suppkey", (F.col("s_nationkey") + F.lit(0.5)).alias("n"))
+    feature_store.write_feature_table(stamp(wide, value="2024-02-01 00:00:00"), "supplier", 1, path, **options)
+    name = feature_store.write_feature_table(stamp(whole, value="2023-01-01 00:00:00"), "supplier", 1, path, **options)
+    feature_store.vacuum_feature_table(spark, "supplier", 1, database)
+    return spark.table(name).select("s_suppkey", "n")
+
+
 @register("stored_clean_traffic", with_views("traffic", f"""
 SELECT row_number() OVER (ORDER BY rowindex) AS rowindex, route_id,
        CAST(date AS TIMESTAMP) + (hour // 100) * INTERVAL '1' HOUR AS date, accident,

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from fleetfeatures.constants import DEFAULT_DATE
 from fleetfeatures.operators.joins import HOT_MIN_ROWS, hot_keys, join_on
-from fleetfeatures.operators.quantiles import ONE_TASK_VALUES, exact_quantiles
+from fleetfeatures.operators.quantiles import exact_quantiles
 from fleetfeatures.operators.rows import first_per_key
 
 _WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
@@ -93,32 +93,26 @@ def fix_negatives(df: DataFrame, column: str) -> DataFrame:
     return df.withColumn(column, F.when(value < 0, F.lit(mean).cast("double")).otherwise(value))
 
 
-def outlier_bounds(df: DataFrame, column: str, *, one_task_values: int = ONE_TASK_VALUES,
-                   rows_at_most: int | None = None) -> tuple[float, float] | None:
+def outlier_bounds(df: DataFrame, column: str) -> tuple[float, float] | None:
     """Quartiles widened by 1.5 times their distance; None for a column without values."""
-    quartiles = exact_quantiles(df, [column], [0.25, 0.75], one_task_values=one_task_values,
-                                rows_at_most=rows_at_most)[column]
+    quartiles = exact_quantiles(df, [column], [0.25, 0.75])[column]
     if quartiles is None:
         return None
     low, high = quartiles
     return low - 1.5 * (high - low), high + 1.5 * (high - low)
 
 
-def remove_outliers(df: DataFrame, columns: Sequence[str], *,
-                    one_task_values: int = ONE_TASK_VALUES) -> DataFrame:
+def remove_outliers(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Keep rows within the bounds, column after column.
 
     Each column's quartiles are those of the rows the columns before it left.
     Null rows go with the outliers; columns the frame lacks are skipped. The
     bounds enter the plan as literals, so the filters reach the scan.
     """
-    rows = None
     for column in columns:
         if column not in df.columns:
             continue
-        if rows is None:
-            rows = df.count()
-        bounds = outlier_bounds(df, column, one_task_values=one_task_values, rows_at_most=rows)
+        bounds = outlier_bounds(df, column)
         df = df.where(F.col(column).between(*bounds)) if bounds else df.where(F.lit(False))
     return df
 

@@ -68,17 +68,22 @@ def required_columns_report(spark: SparkSession, df: DataFrame, required: Sequen
     return spark.createDataFrame(rows, "column string, present boolean")
 
 
-def constant_columns(df: DataFrame, columns: Sequence[str] | None = None) -> list[str]:
-    """The columns with one single value and no null, found in one pass."""
+def constant_columns(df: DataFrame, columns: Sequence[str] | None = None, value: object = 0) -> list[str]:
+    """The columns that hold ``value`` in every row (any one value if None) and no null, found in one pass."""
     columns = list(columns or df.columns)
-    checks = [((F.min(c) == F.max(c)) & (F.count(c) == F.count("*"))).alias(c) for c in columns]
+
+    def holds(c: str) -> Column:
+        wanted = F.lit(True) if value is None else F.min(c) == F.lit(value).try_cast(df.schema[c].dataType)
+        return F.coalesce((F.min(c) == F.max(c)) & (F.count(c) == F.count("*")) & wanted, F.lit(False))
+
+    checks = [holds(c).alias(c) for c in columns]
     row = df.agg(*checks).first()
     return [c for c in columns if row[c]]
 
 
-def drop_constant_columns(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+def drop_constant_columns(df: DataFrame, columns: Sequence[str] | None = None, value: object = 0) -> DataFrame:
     """Drop the columns that say nothing."""
-    return df.drop(*constant_columns(df, columns))
+    return df.drop(*constant_columns(df, columns, value))
 
 
 def add_constant(df: DataFrame, name: str, value: Column) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetfeatures.constants import BOOSTED_GRID, FOLDS, FOREST_GRID, LOGISTIC_GRID, TARGET
-from fleetfeatures.operators.numbering import ONE_TASK_ROWS, number_rows
+from fleetfeatures.operators.numbering import number_rows
 
 Grid = Mapping[str, Sequence[Any]]
 SEED = 42
@@ -35,7 +35,8 @@ def estimator(name: str) -> Any:
     """M3-M5: the untrained classifier."""
     common = {"featuresCol": "features", "labelCol": TARGET, "predictionCol": "prediction"}
     if name == "Logistic_Regression":
-        return LogisticRegression(elasticNetParam=0.0, **common)
+        # the penalty is on the columns as they come, and C counts the rows a fit sees
+        return LogisticRegression(elasticNetParam=0.0, standardization=False, **common)
     if name == "Random_Forest":
         return RandomForestClassifier(seed=SEED, **common)
     if name == "Boosted_Trees":
@@ -48,16 +49,14 @@ def default_grids() -> dict[str, Grid]:
     return {"Logistic_Regression": LOGISTIC_GRID, "Random_Forest": FOREST_GRID, "Boosted_Trees": BOOSTED_GRID}
 
 
-def with_folds(df: DataFrame, keys: Sequence[str], folds: int = FOLDS, label: str = TARGET, *,
-               rows: int | None = None, one_task_rows: int = ONE_TASK_ROWS) -> DataFrame:
+def with_folds(df: DataFrame, keys: Sequence[str], folds: int = FOLDS, label: str = TARGET) -> DataFrame:
     """M6: a ``fold`` column; every fold has each label in the same share, to within a row.
 
     Rows are numbered by label, then by a hash of the keys; consecutive numbers
     go round the folds.
     """
     shuffled = df.withColumn("__mix", F.xxhash64(*keys))
-    numbered = number_rows(shuffled, "__n", [label, "__mix", *keys], start=0, rows=rows,
-                           one_task_rows=one_task_rows)
+    numbered = number_rows(shuffled, "__n", [label, "__mix", *keys], start=0)
     return numbered.withColumn("fold", F.pmod("__n", F.lit(folds)).cast("int")).drop("__n", "__mix")
 
 

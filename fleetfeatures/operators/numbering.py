@@ -10,24 +10,17 @@ from pyspark.sql import functions as F
 from fleetfeatures.operators.joins import join_on
 from fleetfeatures.session import cut_lineage
 
-ONE_TASK_ROWS = 1_000_000
 _POSITION_BITS = 33
 
 
-def number_rows(df: DataFrame, name: str, order_by: Sequence[str | Column], *, start: int = 1,
-                rows: int | None = None, one_task_rows: int = ONE_TASK_ROWS) -> DataFrame:
+def number_rows(df: DataFrame, name: str, order_by: Sequence[str | Column], *, start: int = 1) -> DataFrame:
     """Consecutive numbers along ``order_by``, which must be a total order.
 
-    Up to ``one_task_rows`` rows a plain window does it. Beyond, the frame is
-    range-sorted over all tasks, written to the shared folder (so that a lost
-    executor cannot shift the numbers) and each partition's numbers start
-    where the one before it ends. ``rows`` saves the count when the caller
-    knows the size.
+    The frame is range-sorted over all tasks, written to the shared folder (so
+    that a lost executor cannot shift the numbers) and each partition's numbers
+    start where the one before it ends.
     """
     order = [F.col(c) if isinstance(c, str) else c for c in order_by]
-    if (df.count() if rows is None else rows) <= one_task_rows:
-        place = F.row_number().over(Window.orderBy(*order)).cast("long")
-        return df.withColumn(name, place + (start - 1))
     ordered = cut_lineage(df.orderBy(*order).withColumn("__place", F.monotonically_increasing_id()))
     part = F.shiftright("__place", _POSITION_BITS)
     inside = F.col("__place").bitwiseAND((1 << _POSITION_BITS) - 1)
@@ -40,26 +33,22 @@ def number_rows(df: DataFrame, name: str, order_by: Sequence[str | Column], *, s
     return numbered.select(*[c for c in df.columns if c != name], name)
 
 
-def add_row_index(df: DataFrame, order_by: Sequence[str | Column], *, name: str = "rowindex",
-                  rows: int | None = None, one_task_rows: int = ONE_TASK_ROWS) -> DataFrame:
+def add_row_index(df: DataFrame, order_by: Sequence[str | Column], *, name: str = "rowindex") -> DataFrame:
     """``rowindex`` 1..n as the first column."""
-    numbered = number_rows(df, name, order_by, rows=rows, one_task_rows=one_task_rows)
+    numbered = number_rows(df, name, order_by)
     return numbered.select(name, *[c for c in df.columns if c != name])
 
 
 def forward_fill(df: DataFrame, columns: Sequence[str], order_by: Sequence[str],
-                 by: Sequence[str] = (), *, one_task_rows: int = ONE_TASK_ROWS) -> DataFrame:
+                 by: Sequence[str] = ()) -> DataFrame:
     """Replace nulls by the last value before them along ``order_by``.
 
-    The whole frame is one run of rows, or each ``by`` group is. Small frames
-    use one window. Large ones are range-sorted on group and order, so that a
-    long run spans many tasks: rows are filled inside each task's block, and a
-    block's leading nulls take the last value of the blocks before it.
+    The whole frame is one run of rows, or each ``by`` group is. The frame is
+    range-sorted on group and order, so that a long run spans many tasks: rows
+    are filled inside each task's block, and a block's leading nulls take the
+    last value of the blocks before it.
     """
     columns, by = list(columns), list(by)
-    if df.count() <= one_task_rows:
-        seen = Window.partitionBy(*by).orderBy(*order_by).rowsBetween(Window.unboundedPreceding, 0)
-        return df.withColumns({c: F.last(c, ignorenulls=True).over(seen) for c in columns})
     blocks = cut_lineage(
         df.repartitionByRange(*by, *order_by).withColumn("__block", F.spark_partition_id()))
     seen = (Window.partitionBy(*by, "__block").orderBy(*order_by)

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fleetfeatures.operators.quantiles import ONE_TASK_VALUES, exact_quantiles
+from fleetfeatures.operators.quantiles import exact_quantiles
 
 
 def _unpivot(df: DataFrame, columns: Sequence[str], kind: str) -> DataFrame:
@@ -44,9 +44,9 @@ def value_frequencies(df: DataFrame, column: str) -> DataFrame:
     return counted.orderBy(F.col("n").desc(), column)
 
 
-def describe(df: DataFrame, columns: Sequence[str], *, one_task_values: int = ONE_TASK_VALUES) -> DataFrame:
+def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Count, mean, sample deviation, minimum, exact quartiles and maximum, a row per column."""
-    quartiles = exact_quantiles(df, columns, [0.25, 0.5, 0.75], one_task_values=one_task_values)
+    quartiles = exact_quantiles(df, columns, [0.25, 0.5, 0.75])
     stats = df.agg(*[
         F.struct(F.count(c).alias("n"), F.avg(c).cast("double").alias("mean"), F.stddev_samp(c).alias("std"),
                  F.min(c).cast("double").alias("low"), F.max(c).cast("double").alias("high")).alias(c)
@@ -87,9 +87,9 @@ def histogram(df: DataFrame, columns: Sequence[str], bins: int = 20) -> DataFram
             .select("column", "bin", "low", "high", F.coalesce("n", F.lit(0)).alias("n")))
 
 
-def box_plot(df: DataFrame, columns: Sequence[str], *, one_task_values: int = ONE_TASK_VALUES) -> DataFrame:
+def box_plot(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Quartiles, whiskers (last values within 1.5 quartile distances) and outlier count."""
-    quartiles = exact_quantiles(df, columns, [0.25, 0.5, 0.75], one_task_values=one_task_values)
+    quartiles = exact_quantiles(df, columns, [0.25, 0.5, 0.75])
     known = [c for c in columns if quartiles[c] is not None]
     aggregates = []
     for c in known:
@@ -99,7 +99,11 @@ def box_plot(df: DataFrame, columns: Sequence[str], *, one_task_values: int = ON
             F.min(F.when(inside, F.col(c))).cast("double").alias("low"),
             F.max(F.when(inside, F.col(c))).cast("double").alias("high"),
             F.count(F.when(~inside, F.lit(1))).alias("outliers")).alias(c))
-    rows = []
+    rows = [F.struct(F.lit(c).alias("column"), *[F.lit(None).cast("double").alias(n) for n in (
+        "whisker_low", "q25", "q50", "q75", "whisker_high")], F.lit(0).cast("long").alias("outliers"))
+            for c in columns if c not in known]
+    if not known:
+        return df.limit(0).agg(F.count("*")).select(F.inline(F.array(*rows)))
     for c in known:
         q1, q2, q3 = [F.lit(float(q)) for q in quartiles[c]]
         rows.append(F.struct(

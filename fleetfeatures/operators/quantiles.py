@@ -8,46 +8,49 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-ONE_TASK_VALUES = 200_000
 CELLS = 2048
 
 
 def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float], *,
-                    one_task_values: int = ONE_TASK_VALUES, cells: int = CELLS,
-                    rows_at_most: int | None = None) -> dict[str, list[float] | None]:
-    """Linearly interpolated quantiles per column, nulls ignored; None for an empty column.
+                    cells: int = CELLS) -> dict[str, list[float] | None]:
+    """Linearly interpolated quantiles per column; None for a column without values.
 
-    Spark's ``percentile`` keeps every distinct value in one buffer, so it is
-    used only below ``one_task_values`` rows. Larger columns are searched by
-    :func:`_values_at_ranks`, which scans but never shuffles or sorts values.
+    Nulls and not-a-number are missing; infinities are values with a rank. One
+    algorithm at every size: :func:`_values_at_ranks` scans but never shuffles
+    or sorts values (Spark's ``percentile`` keeps every distinct value in one
+    buffer).
     """
     columns = list(columns)
-    values = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    if rows_at_most is not None and rows_at_most <= one_task_values:
-        return _percentiles(values, columns, probs)
-    shape = values.agg(*[F.struct(F.count(c).alias("n"), F.min(c).alias("lo"), F.max(c).alias("hi")).alias(c)
-                         for c in columns]).first()
-    small = [c for c in columns if shape[c]["n"] <= one_task_values]
-    large = [c for c in columns if c not in small]
-    found = _percentiles(values, small, probs) if small else {}
-    if large:
-        places = {c: [(shape[c]["n"] - 1) * p for p in probs] for c in large}
-        ranks = {c: {r for place in places[c] for r in (math.floor(place), math.ceil(place))} for c in large}
-        ends = {c: (shape[c]["lo"], shape[c]["hi"]) for c in large}
-        at = _values_at_ranks(values.select(*large), ranks, ends, cells)
-        for c in large:
-            found[c] = [_between(at[c][math.floor(place)], at[c][math.ceil(place)], place % 1) for place in places[c]]
-    return {c: found[c] for c in columns}
+    as_double = [(c, F.col(c).cast("double")) for c in columns]
+    values = df.select(*[F.when(~F.isnan(v), v).alias(c) for c, v in as_double])
+    finite = [(c, F.when(F.abs(c) < math.inf, F.col(c))) for c in columns]
+    shape = values.agg(*[F.struct(F.count(c).alias("n"), F.min(v).alias("lo"), F.max(v).alias("hi"),
+                                  F.count(F.when(F.col(c) == -math.inf, 1)).alias("below"),
+                                  F.count(v).alias("n_finite")).alias(c) for c, v in finite]).first()
+    known = [c for c in columns if shape[c]["n"]]
+    places = {c: [(shape[c]["n"] - 1) * p for p in probs] for c in known}
+    ranks = {c: {r for place in places[c] for r in (math.floor(place), math.ceil(place))} for c in known}
+    inner = {c: {r - shape[c]["below"] for r in ranks[c] if 0 <= r - shape[c]["below"] < shape[c]["n_finite"]} for c in known}
+    searched = [c for c in known if inner[c]]
+    at = _values_at_ranks(values.select(*[v.alias(c) for c, v in finite if c in searched]), {c: inner[c] for c in searched},
+                          {c: (shape[c]["lo"], shape[c]["hi"]) for c in searched}, cells) if searched else {}
+
+    def value(c: str, rank: int) -> float:
+        inside = rank - shape[c]["below"]
+        return -math.inf if inside < 0 else at[c][inside] if inside < shape[c]["n_finite"] else math.inf
+
+    found = {c: [_between(value(c, math.floor(place)), value(c, math.ceil(place)), place % 1) for place in places[c]]
+             for c in known}
+    return {c: found.get(c) for c in columns}
 
 
 def _between(low: float, high: float, share: float) -> float:
-    return low + (high - low) * share
-
-
-def _percentiles(values: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> dict[str, list[float] | None]:
-    wanted = F.array(*[F.lit(float(p)) for p in probs])
-    row = values.agg(*[F.percentile(c, wanted).alias(c) for c in columns]).first()
-    return {c: row[c] for c in columns}
+    """The value ``share`` of the way; next to an infinity it is that infinity."""
+    if low == high or share == 0.0:
+        return low
+    if math.isinf(low) or math.isinf(high):
+        return low if math.isinf(low) else high
+    return low + (high - low) * share if math.isfinite(high - low) else low * (1.0 - share) + high * share
 
 
 def _values_at_ranks(values: DataFrame, ranks: dict[str, set[int]], ends: dict[str, tuple[float, float]],
@@ -62,8 +65,6 @@ def _values_at_ranks(values: DataFrame, ranks: dict[str, set[int]], ends: dict[s
     shrinks it; each pass divides the rows left by about ``cells``. All columns
     share the passes.
     """
-    if not all(math.isfinite(hi - lo) for lo, hi in ends.values()):
-        raise ValueError("quantiles need finite values")
     # bracket: column, smallest value, largest value, rows of the column below it
     brackets = {(c, rank): (c, *ends[c], 0) for c in ranks for rank in ranks[c]}
     while True:
@@ -93,7 +94,9 @@ def _count_cells(values: DataFrame, brackets: list[tuple[str, float, float, int]
         for i, (name, low, high, _) in enumerate(brackets):
             if name == c:
                 here = F.col(c).between(low, high)
-                cell = F.least(F.floor((F.col(c) - low) / (high - low) * cells).cast("int"), F.lit(cells - 1))
+                # halves, as the distance itself may be too large for a double
+                share = (F.col(c) / 2 - low / 2) / (high / 2 - low / 2)
+                cell = F.least(F.floor(share * cells).cast("int"), F.lit(cells - 1))
                 bracket_no, cell_no = F.when(here, i).otherwise(bracket_no), F.when(here, cell).otherwise(cell_no)
         places.append(F.struct(bracket_no.alias("bracket"), cell_no.alias("cell"), F.col(c).alias("v")))
     placed = values.select(F.inline(F.array(*places))) if len(places) > 1 else values.select(

@@ -32,8 +32,8 @@ def between_dates(df: DataFrame, column: str, first_day: str, last_day: str, *,
 
 
 def where_equals(df: DataFrame, column: str, choice: object) -> DataFrame:
-    """Rows with the chosen value; the choice is cast to the column's type."""
-    return df.where(F.col(column) == F.lit(choice).cast(df.schema[column].dataType))
+    """Rows with the chosen value; a choice the column's type cannot hold matches none."""
+    return df.where(F.col(column) == F.lit(choice).try_cast(df.schema[column].dataType))
 
 
 def emptiness(df: DataFrame) -> DataFrame:

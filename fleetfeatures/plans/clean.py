@@ -39,7 +39,7 @@ def clean_tables(tables: Mapping[str, DataFrame], order_by: Mapping[str, Sequenc
     """
     cleaned = {}
     for name, df in tables.items():
-        df = add_row_index(fill_missing(df), order_by[name], rows=df.count())
+        df = add_row_index(fill_missing(df), order_by[name])
         if name in NEGATIVE_COLUMNS:
             df = fix_negatives(df, NEGATIVE_COLUMNS[name])
         if name in DATE_HOUR_TABLES:

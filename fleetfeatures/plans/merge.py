@@ -41,7 +41,7 @@ from fleetfeatures.operators.columns import (
     rename_in,
 )
 from fleetfeatures.operators.joins import HOT_MIN_ROWS, hot_key_sets, join_on
-from fleetfeatures.operators.numbering import ONE_TASK_ROWS, number_rows
+from fleetfeatures.operators.numbering import number_rows
 from fleetfeatures.operators.slots import hourly_slots, six_hour_slots
 
 Tables = Mapping[str, DataFrame]
@@ -226,8 +226,7 @@ def finish_columns(df: DataFrame) -> DataFrame:
 
 
 def wide_trips(tables: Tables, order_by: Mapping[str, Sequence[str]] | Sequence[str] = ("rowindex",), *,
-               hot: HotKeys | None = None, drop_nulls: bool = True,
-               one_task_rows: int = ONE_TASK_ROWS) -> DataFrame:
+               hot: HotKeys | None = None, drop_nulls: bool = True) -> DataFrame:
     """The wide table from clean tables: one row per trip, all features, ``unique_id``.
 
     Full-row duplicates (C12) cannot arise and cost no shuffle: the schedule is
@@ -241,7 +240,7 @@ def wide_trips(tables: Tables, order_by: Mapping[str, Sequence[str]] | Sequence[
     wide = add_vehicle_and_driver(trips_on_one_spine(prepared, hot), prepared, hot)
     wide = finish_columns(wide.withColumn("is_midnight", crosses_midnight("departure_date", "estimated_arrival")))
     order = ["departure_date", "truck_id", "route_id", "origin_id", "destination_id", "driver_id"]
-    wide = number_rows(wide, "unique_id", order, start=0, rows=rows, one_task_rows=one_task_rows)
+    wide = number_rows(wide, "unique_id", order, start=0)
     if drop_nulls:
         wide = wide.na.drop("any")
     return wide.withColumn("event_time", timestamp_literal(WIDE_EVENT_TIME))

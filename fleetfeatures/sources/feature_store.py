@@ -2,7 +2,10 @@
 
 Key, event time and description are table properties. Every write makes a new
 folder and then points the table to it, so readers see the old or the new rows
-and a failed write changes nothing.
+and a failed write changes nothing. New columns and wider types enter the
+table's definition with the rows that bring them; types that have no common one
+are refused before anything is written. Folders that a later write superseded
+stay for readers until :func:`vacuum_feature_table`.
 """
 
 from __future__ import annotations
@@ -53,6 +56,30 @@ def upsert(old: DataFrame, new: DataFrame, keys: Sequence[str], event_time: str,
     return untouched.unionByName(winners, allowMissingColumns=True)
 
 
+#: From narrow to wide; a value of an earlier kind has a place in every later one.
+_NUMBERS = ["tinyint", "smallint", "int", "bigint", "float", "double"]
+
+
+def common_type(name: str, old: str, new: str) -> str:
+    """The type that holds both; an error if there is none."""
+    if old == new:
+        return old
+    if old in _NUMBERS and new in _NUMBERS:
+        wide = max(old, new, key=_NUMBERS.index)
+        # 32-bit floats lose digits of whole numbers
+        return "double" if wide == "float" and min(old, new, key=_NUMBERS.index) in ("int", "bigint") else wide
+    if {old, new} in ({"date", "timestamp"}, {"date", "timestamp_ntz"}):
+        return max(old, new)
+    raise ValueError(f"column {name} is {old} in the table and {new} in the batch")
+
+
+def reconcile(old: DataFrame, new: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both frames with the common type in every column they share."""
+    before, after = dict(old.dtypes), dict(new.dtypes)
+    types = {c: common_type(c, before[c], after[c]) for c in before if c in after}
+    return tuple(df.withColumns({c: F.col(c).cast(t) for c, t in types.items() if dict(df.dtypes)[c] != t}) for df in (old, new))
+
+
 def write_feature_table(df: DataFrame, name: str, version: int, location: str, *, primary_key: Sequence[str],
                         event_time: str, description: str = "", comments: Mapping[str, str] | None = None,
                         keys_unique: bool = False, database: str = "default") -> str:
@@ -66,21 +93,24 @@ def write_feature_table(df: DataFrame, name: str, version: int, location: str, *
     folder = f"{location.rstrip('/')}/{name}_v{version}/{uuid.uuid4().hex}"
     exists = spark.catalog.tableExists(table)
     if exists:
-        rows = upsert(spark.table(table), df, primary_key, event_time, keys_unique=keys_unique)
+        stored, df = reconcile(spark.table(table), df)
+        rows = upsert(stored, df, primary_key, event_time, keys_unique=keys_unique)
     else:
         rows = df if keys_unique else latest_per_key(df, primary_key, [event_time])
     with_comments(rows, dict(comments or {})).write.parquet(folder)
-    if exists:
+    if exists and rows.dtypes == spark.table(table).dtypes:
         spark.sql(f"ALTER TABLE {table} SET LOCATION '{folder}'")
         spark.catalog.refreshTable(table)
-    else:
-        columns = ", ".join(
-            f"`{c}` {kind}" + (f" COMMENT '{_quoted(comments[c])}'" if comments and c in comments else "")
-            for c, kind in rows.dtypes)
-        spark.sql(
-            f"CREATE TABLE {table} ({columns}) USING parquet LOCATION '{folder}' "
-            f"COMMENT '{_quoted(description)}' TBLPROPERTIES ("
-            f"'primary_key' = '{','.join(primary_key)}', 'event_time' = '{event_time}')")
+        return table
+    texts = {f.name: f.metadata.get("comment", "") for f in spark.table(table).schema.fields} if exists else {}
+    texts |= dict(comments or {})
+    columns = ", ".join(f"`{c}` {kind}" + (f" COMMENT '{_quoted(texts[c])}'" if texts.get(c) else "") for c, kind in rows.dtypes)
+    # the rows of the table are in its folders, so a new definition over the new folder replaces the old one whole
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    spark.sql(
+        f"CREATE TABLE {table} ({columns}) USING parquet LOCATION '{folder}' "
+        f"COMMENT '{_quoted(description)}' TBLPROPERTIES ("
+        f"'primary_key' = '{','.join(primary_key)}', 'event_time' = '{event_time}')")
     return table
 
 
@@ -110,5 +140,34 @@ def feature_table_properties(spark: SparkSession, name: str, version: int, datab
 
 
 def drop_feature_table(spark: SparkSession, name: str, version: int, database: str = "default") -> None:
-    """Remove one version of a feature table from the catalog."""
-    spark.sql(f"DROP TABLE IF EXISTS {table_of(name, version, database)}")
+    """Remove one version of a feature table, its rows included."""
+    table = table_of(name, version, database)
+    folder = _folder_of(spark, table)
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    if folder and folder.rstrip("/").rsplit("/", 2)[-2] == f"{name}_v{version}":
+        _delete(spark, folder.rstrip("/").rsplit("/", 1)[0])
+
+
+def vacuum_feature_table(spark: SparkSession, name: str, version: int, database: str = "default") -> int:
+    """Delete the folders that later writes superseded; how many there were. No reader may still use them."""
+    folder = _folder_of(spark, table_of(name, version, database)).rstrip("/")
+    jvm = spark.sparkContext._jvm
+    home = jvm.org.apache.hadoop.fs.Path(folder.rsplit("/", 1)[0])
+    listed = home.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(home)
+    old = [x.getPath().toString() for x in listed if x.getPath().getName() != folder.rsplit("/", 1)[1]]
+    for path in old:
+        _delete(spark, path)
+    return len(old)
+
+
+def _folder_of(spark: SparkSession, table: str) -> str | None:
+    """Where the rows of a table are, or None without the table."""
+    if not spark.catalog.tableExists(table):
+        return None
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'")
+    return described.first()["data_type"]
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,11 +22,51 @@ def list_csv(spark: SparkSession, folder: str) -> DataFrame:
     return datasets.select("path", table_name_of("path").alias("table_name"))
 
 
+#: The words that mean a missing value in a CSV file.
+MISSING_WORDS = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A",
+                 "NA", "NULL", "NaN", "None", "n/a", "nan", "null"]
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """A CSV file or folder with header. Without a schema the types are inferred, which reads it twice."""
+    """A CSV file or folder with header; missing-value words are null.
+
+    With a schema, columns are taken by the names in the header, whatever their
+    order and case; further ones are left out, and a name that is not there is
+    an error. A value that its type cannot hold is null. Without a schema the
+    types are inferred, which reads the data twice.
+    """
     reader = spark.read.option("header", True).option("pathGlobFilter", "*.csv")
-    reader = reader.schema(schema) if schema else reader.option("inferSchema", True)
-    return nan_to_null(reader.csv(path))
+    if schema is None:
+        return _numbers_among_words(nan_to_null(words_to_null(reader.option("inferSchema", True).csv(path))))
+    texts = words_to_null(reader.csv(path))
+    there = {c.lower(): c for c in texts.columns}
+    lacking = [f.name for f in schema.fields if f.name.lower() not in there]
+    if lacking:
+        raise ValueError(f"{path} has no columns {lacking}; its header is {texts.columns}")
+    return nan_to_null(texts.select(*[
+        _column(there[f.name.lower()]).try_cast(f.dataType).alias(f.name) for f in schema.fields]))
+
+
+def _column(name: str) -> Column:
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def words_to_null(df: DataFrame) -> DataFrame:
+    """Text that stands for a missing value becomes null."""
+    return df.select(*[F.when(~_column(c).isin(MISSING_WORDS), _column(c)).alias(c) if kind == "string" else _column(c)
+                       for c, kind in df.dtypes])
+
+
+def _numbers_among_words(df: DataFrame) -> DataFrame:
+    """Text columns that hold only numbers once missing words are null become numbers."""
+    texts = [c for c, kind in df.dtypes if kind == "string"]
+    if not texts:
+        return df
+    counts = df.agg(*[F.struct(F.count(_column(c)).alias("n"), F.count(_column(c).try_cast("bigint")).alias("whole"),
+                               F.count(_column(c).try_cast("double")).alias("double")).alias(f"c{i}")
+                      for i, c in enumerate(texts)]).first()
+    kinds = {c: "bigint" if r["whole"] == r["n"] else "double" for c, r in zip(texts, counts) if r["n"] and r["double"] == r["n"]}
+    return df.select(*[_column(c).try_cast(kinds[c]).alias(c) if c in kinds else _column(c) for c in df.columns])
 
 
 def nan_to_null(df: DataFrame) -> DataFrame:

@@ -206,6 +206,9 @@ def test_histogram_of_one_value_and_box_plot(spark):
     df = spark.createDataFrame([(3.0, float(i)) for i in range(10)] + [(3.0, 500.0), (None, None)], "c double, x double")
     one = {r.bin: r.n for r in profile.histogram(df, ["c"]).collect()}
     assert len(one) == 20 and one[11] == 11 and sum(one.values()) == 11
+    none = profile.box_plot(df.select(F.lit(None).cast("double").alias("e"), "x"), ["e", "x"]).collect()
+    assert {r.column: r.q50 for r in none} == {"e": None, "x": 5.0}
+    assert profile.box_plot(df.select(F.lit(None).cast("double").alias("e")), ["e"]).first().outliers == 0
     box = profile.box_plot(df, ["x"]).first()
     assert (box.q50, box.whisker_low, box.whisker_high, box.outliers) == (5.0, 0.0, 9.0, 1)
 
@@ -213,6 +216,8 @@ def test_histogram_of_one_value_and_box_plot(spark):
 def test_constant_and_required_columns(spark):
     df = spark.createDataFrame([(0, 1, None), (0, 2, 3)], "z int, a int, n int")
     assert columns.constant_columns(df) == ["z"]
+    fives = df.withColumn("five", F.lit(5.0)).withColumn("t", F.lit("x"))
+    assert columns.constant_columns(fives) == ["z"] and columns.constant_columns(fives, value=None) == ["z", "five", "t"]
     assert columns.missing_columns(df, ["a", "q"]) == ["q"]
     assert len(CONTINUOUS) == 27 and len(CATEGORICAL) == 9
 
@@ -224,3 +229,9 @@ def test_clean_schedule_parses_and_floors(spark):
     got = clean_tables({"truck_schedule_table": df}, {"truck_schedule_table": ["truck_id"]})["truck_schedule_table"]
     assert got.columns[0] == "rowindex"
     assert [r.estimated_arrival for r in got.orderBy("rowindex").collect()] == [at("2019-01-01 13:00"), None]
+
+
+def test_a_choice_of_another_type_matches_nothing(spark):
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "k int, s string")
+    assert rows.where_equals(df, "k", "abc").count() == 0
+    assert rows.where_equals(df, "k", "2").first().s == "b"

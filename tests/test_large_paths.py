@@ -10,7 +10,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from fleetfeatures.catalogue.views import ORDER, trip_tables
-from fleetfeatures.operators.cleaning import outlier_bounds, remove_outliers, rows_with_repeats
+from fleetfeatures.operators.cleaning import rows_with_repeats
 from fleetfeatures.operators.joins import hot_key_sets, hot_keys, join_on
 from fleetfeatures.operators.models import with_folds
 from fleetfeatures.operators.numbering import add_row_index, forward_fill, number_rows
@@ -20,20 +20,20 @@ from fleetfeatures.plans import merge
 
 def test_numbers_over_many_partitions(spark):
     df = spark.range(0, 5000, 1, 7).select((F.col("id") * 7919 % 5000).alias("k"), (F.col("id") % 3).alias("g"))
-    got = add_row_index(df, ["g", "k"], one_task_rows=0).toPandas().sort_values("rowindex")
+    got = add_row_index(df, ["g", "k"]).toPandas().sort_values("rowindex")
     want = df.toPandas().sort_values(["g", "k"])
     assert list(got.columns) == ["rowindex", "k", "g"]
     assert got["rowindex"].tolist() == list(range(1, 5001))
     assert got["k"].tolist() == want["k"].tolist()
-    zero = number_rows(df, "n", ["k"], start=0, one_task_rows=0)
+    zero = number_rows(df, "n", ["k"], start=0)
     assert zero.where("n <> k").count() == 0
 
 
 def test_numbers_with_a_hot_leading_value(spark):
     df = spark.range(0, 9000, 1, 9).select(F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("k"), "id")
-    got = number_rows(df, "n", ["k", "id"], one_task_rows=0)
-    small = number_rows(df, "n", ["k", "id"])
-    assert got.exceptAll(small).count() == 0 and got.count() == 9000
+    got = number_rows(df, "n", ["k", "id"])
+    want = df.toPandas().sort_values(["k", "id"])["id"].tolist()
+    assert got.orderBy("n").toPandas()["id"].tolist() == want
 
 
 @pytest.mark.parametrize("by", [[], ["user"]])
@@ -42,7 +42,7 @@ def test_forward_fill_over_many_blocks(spark, by):
     data = [(i, rng.choice(["hot", "hot", "a", "b"]), rng.random() if rng.random() < 0.02 else None,
              "x%d" % i if rng.random() < 0.1 else None) for i in range(4000)]
     df = spark.createDataFrame(data, "i int, user string, v double, s string").repartition(6)
-    got = forward_fill(df, ["v", "s"], ["i"], by, one_task_rows=0).toPandas().sort_values("i")
+    got = forward_fill(df, ["v", "s"], ["i"], by).toPandas().sort_values("i")
     want = pd.DataFrame(data, columns=["i", "user", "v", "s"])
     filled = want.groupby("user")[["v", "s"]].ffill() if by else want[["v", "s"]].ffill()
     for c in ("v", "s"):
@@ -56,24 +56,33 @@ def test_forward_fill_over_many_blocks(spark, by):
 def test_quantiles_by_cells(spark, values, cells):
     df = spark.createDataFrame([(v,) for v in values] + [(None,)], "x double")
     probs = [0.0, 0.1, 0.25, 0.5, 0.75, 1.0]
-    got = exact_quantiles(df, ["x"], probs, one_task_values=0, cells=cells)["x"]
+    got = exact_quantiles(df, ["x"], probs, cells=cells)["x"]
     assert got == pytest.approx(list(np.quantile(values, probs)), rel=1e-12, abs=1e-12)
 
 
 def test_quantiles_with_a_hot_value_and_empty_column(spark):
     values = [5.0] * 4000 + [float(i) for i in range(6000)]
     df = spark.createDataFrame([(v, None) for v in values], "x double, e double")
-    got = exact_quantiles(df, ["x", "e"], [0.25, 0.5, 0.75], one_task_values=0)
+    got = exact_quantiles(df, ["x", "e"], [0.25, 0.5, 0.75])
     assert got["x"] == list(np.quantile(values, [0.25, 0.5, 0.75]))
     assert exact_quantiles(df, ["x", "e"], [0.5]) == {"x": [float(np.quantile(values, 0.5))], "e": None}
 
 
-def test_outliers_by_cells_equal_outliers_by_percentile(spark, sf):
-    lines = spark.read.parquet(f"{sf}/lineitem.parquet").select("l_orderkey", "l_extendedprice", "l_quantity")
-    columns = ["l_extendedprice", "l_quantity"]
-    by_cells, direct = remove_outliers(lines, columns, one_task_values=0), remove_outliers(lines, columns)
-    assert by_cells.count() == direct.count() and by_cells.exceptAll(direct).count() == 0
-    assert outlier_bounds(lines, "l_quantity", one_task_values=0) == outlier_bounds(lines, "l_quantity")
+def test_quantiles_of_odd_values(spark):
+    rows = [(float("nan"), 1.0), (None, float("inf")), (5.0, float("inf")), (1.0, float("-inf")), (9.0, 2.0)] * 3
+    df = spark.createDataFrame(rows, "x double, y double")
+    got = exact_quantiles(df, ["x", "y"], [0.0, 0.5, 1.0])
+    assert got == {"x": [1.0, 5.0, 9.0], "y": [float("-inf"), 2.0, float("inf")]}
+    assert exact_quantiles(df.limit(0), ["x"], [0.5]) == {"x": None}
+    wide = spark.createDataFrame([(-1.7e308,), (0.0,), (1.7e308,)], "x double")
+    assert exact_quantiles(wide, ["x"], [0.0, 0.5, 0.75, 1.0])["x"] == [-1.7e308, 0.0, 0.85e308, 1.7e308]
+
+
+@pytest.mark.parametrize("n", [10, 1000, 500_000])
+def test_quantiles_do_not_depend_on_size(spark, n):
+    values = [(i * 7919 % n) // 3 + 0.1 for i in range(n)]
+    df = spark.range(n).select((F.floor((F.col("id") * 7919 % n) / 3) + 0.1).alias("x"))
+    assert exact_quantiles(df, ["x"], [0.25, 0.5, 0.75])["x"] == list(np.quantile(values, [0.25, 0.5, 0.75]))
 
 
 def skewed(spark, n=6000):
@@ -124,7 +133,7 @@ def test_repeats_with_hot_values(spark):
 
 def test_folds_are_stratified_beyond_one_task(spark):
     df = spark.range(0, 3001, 1, 5).select("id", (F.col("id") % 10 == 0).cast("int").alias("delay"))
-    sizes = with_folds(df, ["id"], one_task_rows=0).groupBy("delay").pivot("fold", [0, 1, 2]).count().collect()
+    sizes = with_folds(df, ["id"]).groupBy("delay").pivot("fold", [0, 1, 2]).count().collect()
     for r in sizes:
         assert max(r[1:]) - min(r[1:]) <= 1
 
@@ -146,7 +155,7 @@ def equal(a, b):
 def test_wide_trips_with_everything_hot(spark, trips):
     hot = merge.hot_trip_keys(trips, min_rows=10)
     assert hot.route and hot.truck and hot.pair
-    equal(merge.wide_trips(trips, ORDER, hot=hot, drop_nulls=False, one_task_rows=0),
+    equal(merge.wide_trips(trips, ORDER, hot=hot, drop_nulls=False),
           merge.wide_trips(trips, ORDER, hot=merge.HotKeys(), drop_nulls=False))
 
 

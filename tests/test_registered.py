@@ -4,8 +4,9 @@ import pytest
 from compare import differences
 
 import __spark_entry__ as contract
+from fleetfeatures import catalogue
 
-QUERIES, ORACLES = contract.queries(), contract.oracle_sql()
+QUERIES, ORACLES = catalogue.QUERIES, catalogue.ORACLES
 WITHOUT_SQL = {"grid_lr", "grid_rf", "grid_gbt", "train_eval", "run_log", "score_batch"}
 
 

@@ -2,6 +2,7 @@
 
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from fleetfeatures.constants import TABLES
@@ -59,8 +60,21 @@ def test_feature_table_upsert_keeps_old_and_new(spark, tmp_path):
     properties = {r.key: r.value for r in feature_store.feature_table_properties(spark, "things", 2, "features").collect()}
     assert (properties["primary_key"], properties["event_time"]) == ("k", "t")
     assert feature_store.read_feature_table(spark, "things", 1, "features") is None
+    third = batch([(4, "newest", "2025-01-01")]).withColumn("k", F.col("k").cast("bigint")).withColumn("extra", F.lit(1.5))
+    feature_store.write_feature_table(third, "things", 2, str(tmp_path / "store"), **options)
+    assert spark.table(table).dtypes == [("k", "bigint"), ("v", "string"), ("t", "timestamp"), ("extra", "double")]
+    assert {(r.k, r.v, r.extra) for r in spark.table(table).collect()} == {
+        (1, "old", None), (2, "new", None), (3, "old", None), (4, "newest", 1.5)}
+    assert spark.table(table).schema["v"].metadata["comment"] == "it's a value"
+    odd = batch([(1, "x", "2026-01-01")]).withColumn("v", F.lit(True))
+    with pytest.raises(ValueError, match="column v"):
+        feature_store.write_feature_table(odd, "things", 2, str(tmp_path / "store"), **options)
+    assert len(list((tmp_path / "store" / "things_v2").iterdir())) == 3
+    assert feature_store.vacuum_feature_table(spark, "things", 2, "features") == 2
+    assert spark.table(table).count() == 4
     feature_store.drop_feature_table(spark, "things", 2, "features")
     feature_store.drop_feature_table(spark, "things", 2, "features")
+    assert not (tmp_path / "store" / "things_v2").exists()
     assert feature_store.read_feature_table(spark, "things", 2, "features") is None
 
 
@@ -76,3 +90,14 @@ def test_listing(spark):
     got = {tuple(r) for r in explode_listing(df, "listing").collect()}
     assert (1, "a.csv", "file", "x:/a.csv") in got and (1, "d", "dir", None) in got
     assert {r[0] for r in got} >= {2}
+
+
+def test_csv_by_header_name(spark, tmp_path):
+    (tmp_path / "r.csv").write_text("id,Distance,average_hours,note\n0,100.0,2.0,NA\n1,nan,x,ok\n")
+    schema = spark.createDataFrame([], "average_hours double, distance double").schema
+    got = files.read_csv(spark, str(tmp_path / "r.csv"), schema)
+    assert got.columns == ["average_hours", "distance"]
+    assert [tuple(r) for r in got.collect()] == [(2.0, 100.0), (None, None)]
+    with pytest.raises(ValueError, match="speed"):
+        files.read_csv(spark, str(tmp_path / "r.csv"), spark.createDataFrame([], "speed int").schema)
+    assert [r.note for r in files.read_csv(spark, str(tmp_path / "r.csv")).collect()] == [None, "ok"]
