@@ -41,7 +41,7 @@ ANCHOR = 50
 WIDTH = LENGTH - ANCHOR + 1
 #: Bytes of a piece: bounds a task's memory on very long texts.
 PIECE = 1 << 20
-BATCHES = 2
+BATCHES = 4
 #: Contexts of one anchor that are compared in one place; beyond, they are counted over all tasks.
 TOGETHER = 32
 RUN = 38
