@@ -125,23 +125,31 @@ LEFT JOIN trucks t ON ends.truck_id = t.truck_id
 LEFT JOIN drivers d ON ends.truck_id = d.vehicle_no),
 n AS (SELECT *, row_number() OVER (ORDER BY departure_date, truck_id, route_id, origin_id, destination_id,
              driver_id) - 1 AS unique_id FROM w)
-SELECT *, TIMESTAMP '2024-10-08 00:00:00' AS event_time FROM n
 """
+_WIDE_ROWS = "SELECT *, TIMESTAMP '2024-10-08 00:00:00' AS event_time FROM n"
+
+
+ROUNDED = [*_ROUTE_MEANS, "avg_no_of_vehicles"]
 
 
 def _wide(spark: SparkSession, folder: str, **options) -> DataFrame:
     wide = merge.wide_trips(trip_tables(spark, folder), ORDER, **options)
-    return plain_times(rounded(wide, [*_ROUTE_MEANS, "avg_no_of_vehicles"]))
+    return plain_times(rounded(wide, ROUNDED))
 
 
-@register("wide_trips_with_nulls", with_views(MERGE_VIEWS, _WIDE_SQL))
+@register("wide_trips_with_nulls", with_views(MERGE_VIEWS, _WIDE_SQL + _WIDE_ROWS))
 def wide_trips_with_nulls(spark: SparkSession, folder: str) -> DataFrame:
     return _wide(spark, folder, drop_nulls=False)
 
 
-@register("wide_trips", with_views(MERGE_VIEWS, _WIDE_SQL + """
+_COMPLETE = """
 WHERE temp_origin IS NOT NULL AND temp_destination IS NOT NULL AND avg_no_of_vehicles IS NOT NULL
   AND route_avg_temp IS NOT NULL AND load_capacity_pounds IS NOT NULL AND fuel_type IS NOT NULL
-  AND truck_age IS NOT NULL AND driver_id IS NOT NULL AND distance IS NOT NULL"""))
+  AND truck_age IS NOT NULL AND driver_id IS NOT NULL AND distance IS NOT NULL"""
+#: Steps of check SQL up to ``wide``, the wide table, to be gone on with.
+WIDE_STEPS = f"{_WIDE_SQL.rstrip()},\nwide AS ({_WIDE_ROWS}{_COMPLETE})\n"
+
+
+@register("wide_trips", with_views(MERGE_VIEWS, WIDE_STEPS + "SELECT * FROM wide"))
 def wide_trips(spark: SparkSession, folder: str) -> DataFrame:
     return _wide(spark, folder)

@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetfeatures.catalogue import register
+from fleetfeatures.catalogue.merging import ROUNDED, WIDE_STEPS
 from fleetfeatures.catalogue.shaping import plain_times, rounded, sql_rounded
-from fleetfeatures.catalogue.views import ORDER, table, trip_tables
+from fleetfeatures.catalogue.sqltext import MERGE_VIEWS
+from fleetfeatures.catalogue.views import ORDER, table, trip_tables, with_views
 from fleetfeatures.constants import TARGET
 from fleetfeatures.operators import features, metrics, models
 from fleetfeatures.plans import merge, score, train
@@ -150,6 +152,44 @@ def run_log(spark: SparkSession, folder: str) -> DataFrame:
     return runs.join(logged, "run_id").select("run_name", "status", "key", "value")
 
 
+_PARTS = ["train", "valid", "test"]
+
+
+@register("models_rated", with_views(MERGE_VIEWS, WIDE_STEPS + f""",
+p AS (SELECT CASE WHEN estimated_arrival <= TIMESTAMP '{TRAIN_END}' THEN 'train'
+             WHEN estimated_arrival <= TIMESTAMP '{VALID_END}' THEN 'valid' ELSE 'test' END AS part, delay
+      FROM wide WHERE estimated_arrival IS NOT NULL),
+c AS (SELECT part, count(*)::BIGINT AS n_rows, sum(delay)::BIGINT AS n_late FROM p GROUP BY part)
+SELECT m.model, c.part, c.n_rows, c.n_late, true AS recomputed, true AS in_range
+FROM c CROSS JOIN (VALUES ('Logistic_Regression'), ('Random_Forest'), ('Boosted_Trees')) m(model)"""))
+def models_rated(spark: SparkSession, folder: str) -> DataFrame:
+    """What is determined of the three searches: rows and late trips per part, accuracy as counted from the predictions."""
+    frames = _frames(spark, folder)
+    fitted = train.fit_models(frames, SMALL_GRIDS)
+    rated = train.evaluate(fitted, frames).select("model", "part", "accuracy")
+    result = None
+    for f in fitted:
+        for part, df in zip(_PARTS, (frames.train, frames.valid, frames.test)):
+            hit = (F.col(TARGET) == F.col("prediction")).cast("int")
+            counted = models.predict(f.model, df).agg(
+                F.count("*").alias("n_rows"), F.sum(TARGET).cast("long").alias("n_late"), F.avg(hit).alias("hits"))
+            row = counted.select(F.lit(f.name).alias("model"), F.lit(part).alias("part"), "n_rows", "n_late", "hits")
+            result = row if result is None else result.unionByName(row)
+    return result.join(rated, ["model", "part"]).select(
+        "model", "part", "n_rows", "n_late", (F.abs(F.col("hits") - F.col("accuracy")) < 1e-9).alias("recomputed"),
+        F.col("accuracy").between(0, 1).alias("in_range"))
+
+
+@register("scored_trips", with_views(MERGE_VIEWS, WIDE_STEPS + """
+SELECT * EXCLUDE (delay), true AS scored FROM wide
+WHERE departure_date BETWEEN TIMESTAMP '2024-01-20 00:00:00' AND TIMESTAMP '2024-01-28 00:00:00'"""))
+def scored_trips(spark: SparkSession, folder: str) -> DataFrame:
+    """All columns of the trips that are scored, and whether each got a class."""
+    scored = score_batch(spark, folder)
+    marked = scored.withColumn("scored", F.coalesce(F.col(TARGET).isin(0, 1), F.lit(False))).drop(TARGET)
+    return rounded(marked, ROUNDED)
+
+
 @register("score_batch")
 def score_batch(spark: SparkSession, folder: str) -> DataFrame:
     wide, path = _wide(spark, folder), scratch_folder(spark)

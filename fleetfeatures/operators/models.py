@@ -9,7 +9,7 @@ from typing import Any
 from pyspark.ml import Model, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -67,10 +67,14 @@ def grid_search(name: str, train: DataFrame, features: Sequence[str], grid: Grid
     ``train`` has flat double features, the label and ``fold``. The vector is
     assembled once and shared by all fits.
     """
-    assembler = VectorAssembler(inputCols=list(features), outputCol="features")
+    # categories are in the names, and a dot or quote there would be read as a path to a field
+    plain = [f"__feature_{i}" for i in range(len(features))]
+    named = ", ".join(f"`{f.replace('`', '``')}` AS {p}" for f, p in zip(features, plain))
+    renamer = SQLTransformer(statement=f"SELECT *, {named} FROM __THIS__")
+    assembler = VectorAssembler(inputCols=plain, outputCol="features")
     classifier = estimator(name)
-    vectors = assembler.transform(train.withColumn(TARGET, F.col(TARGET).cast("double"))).select(
-        "features", TARGET, "fold").persist()
+    labelled = train.withColumn(TARGET, F.col(TARGET).cast("double"))
+    vectors = assembler.transform(renamer.transform(labelled)).select("features", TARGET, "fold").persist()
     try:
         builder = ParamGridBuilder()
         if "C" in grid:
@@ -87,9 +91,10 @@ def grid_search(name: str, train: DataFrame, features: Sequence[str], grid: Grid
         vectors.unpersist()
     best = max(range(len(found.avgMetrics)), key=lambda i: found.avgMetrics[i])
     chosen = {p.name: v for p, v in found.getEstimatorParamMaps()[best].items()}
-    return Fitted(name, PipelineModel([assembler, found.bestModel]), chosen, found.avgMetrics[best])
+    return Fitted(name, PipelineModel([renamer, assembler, found.bestModel]), chosen, found.avgMetrics[best])
 
 
 def predict(model: Model, df: DataFrame) -> DataFrame:
     """Predicted class in ``prediction``; no helper columns stay."""
-    return model.transform(df).drop("features", "rawPrediction", "probability")
+    scored = model.transform(df)
+    return scored.drop("features", "rawPrediction", "probability", *[c for c in scored.columns if c.startswith("__feature_")])

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from fleetfeatures.catalogue.modelling import SMALL_GRIDS, TRAIN_END, VALID_END
 from fleetfeatures.catalogue.views import ORDER, trip_tables
+from fleetfeatures.operators import models
 from fleetfeatures.operators.features import load_preprocessing
 from fleetfeatures.operators.rows import newest
 from fleetfeatures.plans import merge, score, train
@@ -52,6 +53,16 @@ def test_train_log_and_score(spark, wide, tmp_path):
         score.score_saved(spark, str(tmp_path / "out" / "best"), chosen.drop("gender"))
 
 
+def test_category_names_may_hold_anything(spark):
+    names = ["sky_St. Rain", "sky_a`b", "sky_two words"]
+    rows = [(float(i % 2), float(i % 3), float(i % 5), i % 2, i % 3) for i in range(60)]
+    df = spark.createDataFrame(rows, [*names, "delay", "fold"])
+    fitted = models.grid_search("Logistic_Regression", df, names, {"C": [1.0], "maxIter": [5]})
+    scored = models.predict(fitted.model, df)
+    assert scored.columns == [*df.columns, "prediction"] and scored.count() == 60
+    assert fitted.params["regParam"] == pytest.approx(1 / 60)
+
+
 def test_first_of_equally_good_models_is_picked(spark):
     evaluation = spark.createDataFrame(
         [(0, "A", "valid", 0.8), (1, "B", "valid", 0.9), (2, "C", "valid", 0.9), (0, "A", "train", 1.0)],
