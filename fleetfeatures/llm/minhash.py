@@ -11,8 +11,8 @@ probability of their weighted Jaccard similarity. Ranks are searched up to about
 Coordinates are banded; documents that share a band meet in its bucket. Pairs in
 a bucket are not all formed: first each document is compared with one leader of
 its buckets, then with each bucket's leader where that is in another component,
-then what is still apart inside a bucket and may be similar by the
-number of shingles that no other candidate has. Each comparison is exact (Jaccard similarity of the shingle sets at
+then what is still apart inside a bucket and may be similar, by the
+number of shingles that few others have. Each comparison is exact (Jaccard similarity of the shingle sets at
 least ``SIMILARITY``). Components of links are the classes.
 
 A pair of similarity 0.8 shares none of the 25 bands of 5 coordinates with
@@ -43,6 +43,9 @@ SHINGLE = 5
 SIMILARITY = 0.8
 BANDS = 25
 ROWS = 5
+#: Buckets up to this size are compared pair by pair; in larger ones a bound comes first.
+SMALL = 32
+RARE = 12
 
 _SEEDS = [U(0x1F83D9ABFB41BD6B), U(0x5BE0CD19137E2179), U(0x3C6EF372FE94F82B), U(0x510E527FADE682D1)]
 #: Upper ends of a Poisson(1) number's cumulative probabilities, as fractions of 2^64.
@@ -148,18 +151,43 @@ def _pairs(rows: DataFrame, a: str, b: str) -> DataFrame:
     return rows.filter(F.col(a) != F.col(b)).select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).distinct()
 
 
-def _own_parts(sets: DataFrame, nodes: DataFrame) -> DataFrame:
-    """For nodes: how many shingles only they have among ``nodes`` (own), and how many others have too (common).
+def _pairs_in_small_buckets(placed: DataFrame) -> DataFrame:
+    """Nodes of different components in a bucket, as (leader, node)."""
+    other = placed.select("bucket", F.col("node").alias("b"), F.col("component").alias("c"))
+    return placed.join(other, "bucket").filter("component < c").select(F.col("node").alias("leader"), F.col("b").alias("node"))
 
-    Two sets share at most the lesser of their common parts, and together hold both own parts and at least the greater
-    common part: a bound that rules out pairs of distant copies of one text, of which a bucket may hold very many.
+
+def _pairs_in_large_buckets(placed: DataFrame, sets: DataFrame) -> DataFrame:
+    """The same where very many distant copies of one text meet, without the pairs that cannot be similar.
+
+    A shingle that at most ``RARE`` of these nodes have is rare. Two sets without a common rare shingle share at most the
+    lesser of their other parts, and together hold both rare parts and at least the greater other part. This bound is
+    part of the join's condition, as is that a pair comes from the first band it shares. Pairs with common rare shingles
+    come from a join on those (groups of ``RARE`` at most), with their number added to the bound.
     """
-    held = sets.join(nodes, "node", "left_semi")
-    single = held.select("node", F.explode("shingles").alias("shingle")).groupBy("shingle").agg(
-        F.count("*").alias("n"), F.min("node").alias("node")).filter("n = 1")
-    own = single.groupBy("node").agg(F.count("*").alias("own"))
-    sizes = held.select("node", F.size("shingles").alias("n")).join(own, "node", "left").na.fill(0, ["own"])
-    return sizes.select("node", "own", (F.col("n") - F.col("own")).alias("common"))
+    nodes = placed.select("node", "component").distinct()
+    held = sets.join(nodes, "node")
+    single = held.select("node", F.explode("shingles").alias("shingle"))
+    counts = single.groupBy("shingle").agg(F.count("*").alias("n")).filter(F.col("n") <= RARE)
+    rare = written(single.join(counts, "shingle"))
+    sizes = held.select("node", "component", F.size("shingles").alias("n")).join(
+        rare.groupBy("node").agg(F.count("*").alias("rare")), "node", "left").na.fill(0, ["rare"])
+    sizes = written(sizes.select("node", "component", "n", "rare", (F.col("n") - F.col("rare")).alias("usual")))
+    one = placed.select("node", "bucket", "bands").join(sizes, "node")
+    other = one.select("bucket", *[F.col(c).alias(f"b_{c}") for c in ("node", "component", "bands", "rare", "usual")])
+    met = one.join(other, "bucket").filter(
+        (F.col("component") < F.col("b_component"))
+        & (F.least("usual", "b_usual") >= SIMILARITY * (F.col("rare") + F.col("b_rare") + F.greatest("usual", "b_usual")))
+        & (F.get(F.array_intersect("bands", "b_bands"), 0) == F.col("bucket"))).select(
+        F.col("node").alias("leader"), F.col("b_node").alias("node"))
+    few = rare.filter("n > 1").select("shingle", "node")
+    common = few.join(few.select("shingle", F.col("node").alias("b_node")), "shingle").filter("node < b_node").groupBy(
+        "node", "b_node").agg(F.count("*").alias("shared"))
+    both = common.join(sizes, "node").join(sizes.select(*[F.col(c).alias(f"b_{c}") for c in sizes.columns]), "b_node")
+    most = F.least("usual", "b_usual") + F.col("shared")
+    near = both.filter((F.col("component") != F.col("b_component"))
+                       & (most >= SIMILARITY * (F.col("n") + F.col("b_n") - most)))
+    return met.unionAll(near.select(F.col("node").alias("leader"), F.col("b_node").alias("node")))
 
 
 def linked_nodes(docs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -182,14 +210,10 @@ def linked_nodes(docs: DataFrame, nodes: DataFrame) -> DataFrame:
         apart = apart.filter("lo < hi").select("bucket")
         placed = placed.join(apart, "bucket", "left_semi")
         if last:
-            one = placed.select("node", "bucket", "component").join(_own_parts(sets, placed.select("node").distinct()), "node")
-            other = one.select("bucket", F.col("node").alias("b"), F.col("component").alias("c"), F.col("common").alias("b_common"),
-                               F.col("own").alias("b_own"))
-            most = F.least("common", "b_common")
-            pairs = one.join(other, "bucket").filter(
-                (F.col("component") < F.col("c"))
-                & (most >= SIMILARITY * (F.col("own") + F.col("b_own") + F.greatest("common", "b_common")))).select(
-                F.col("node").alias("leader"), F.col("b").alias("node"))
+            sized = placed.groupBy("bucket").agg((F.count("*") > SMALL).alias("large"))
+            placed = written(placed.join(sized, "bucket"))
+            large = placed.filter("large").join(nodes, "node")
+            pairs = _pairs_in_small_buckets(placed.filter("NOT large")).unionAll(_pairs_in_large_buckets(large, sets))
         else:
             owners = parts.select(F.col("node").alias("own"), F.col("component").alias("c"))
             pairs = placed.join(owners, "own", "left").filter(

@@ -265,7 +265,10 @@ def _classes(texts: list[str | None]) -> list[int]:
     return [top(i) for i in range(len(texts))]
 
 
-def test_near_classes(spark):
+@pytest.mark.parametrize("small", [32, 1])
+def test_near_classes(spark, monkeypatch, small):
+    monkeypatch.setattr(minhash, "SMALL", small)
+    monkeypatch.setattr(minhash, "RARE", 4 if small == 1 else 12)
     base = _prose(70, 200).split()
     texts = [r[1] for r in _odd_rows()]
     texts += [" ".join([*base[:k], "zz", *base[k + 1:]]) for k in range(0, 200, 5)]
