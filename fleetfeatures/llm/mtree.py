@@ -40,7 +40,8 @@ PAGE = 4096
 CHUNK = 4096
 #: Pivots are this many rows of least hash at most; they shape the cells, every row is indexed and searched.
 PIVOTS = 512
-FANOUT = 48
+FANOUT = 32
+LEAF = 256
 NO_ID = np.iinfo(np.int64).max
 HIT = "query_row long, query_id long, vec_id long, score long"
 
@@ -87,7 +88,7 @@ class Page:
         up = self.up[rows]
         centre = up.mean(axis=0)
         away = np.linalg.norm(up - centre, axis=1)
-        if len(rows) <= FANOUT or not (self.x[rows] != self.x[rows[0]]).any():
+        if len(rows) <= LEAF or not (self.x[rows] != self.x[rows[0]]).any():
             return centre, away.max(initial=0.0), rows, away, None
         seeds = [int(away.argmax())]
         nearest = np.linalg.norm(up - up[seeds[0]], axis=1)
@@ -151,7 +152,7 @@ def top_k(vectors: DataFrame, every: int = 50, k: int = K) -> DataFrame:
         "v", F.lit(0.0), lambda a, x: a + x * x))).first()
     n, dim, n_queries, top = size[0], size[1], size[2], float(size[3] or 0.0)
     chunks = max(1, -(-n_queries // CHUNK))
-    pivot_rows = rows.select("v").distinct().orderBy(F.xxhash64("v"), "v").limit(min(PIVOTS, max(1, n // 512)))
+    pivot_rows = rows.select("v").distinct().orderBy(F.xxhash64("v"), "v").limit(min(PIVOTS, max(1, n // PAGE)))
     pivots = raised(matrix([r.v for r in pivot_rows.collect()], dim), top) if n else np.zeros((1, 1))
 
     def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -186,15 +187,18 @@ def top_k(vectors: DataFrame, every: int = 50, k: int = K) -> DataFrame:
                 least = batch["least"].to_numpy(float)
                 limit = np.where(np.isfinite(least), np.sqrt(np.maximum(0.0, reach - 2 * np.where(np.isfinite(least), least, 0.0))), np.inf)
                 limit = limit + 1e-6 * (1 + np.sqrt(reach))
-                for i in range(len(batch)):
-                    visit = [first[i]] if nearest else [c for c in np.flatnonzero(bound[i] <= limit[i]) if c != first[i]]
-                    visit = [c for c in visit if np.isfinite(radius[c])]
-                    visit = [(c, p) for c in visit for p in range(pages[int(c)])]
-                    if visit:
-                        one = batch.iloc[[i]]
-                        yield pd.DataFrame({"cell": [int(c) for c, _ in visit], "page": [p for _, p in visit],
-                                            "query_row": int(one["row"].iloc[0]), "query_id": int(one["vec_id"].iloc[0]),
-                                            "least": float(least[i]), "v": [one["v"].iloc[0]] * len(visit)})
+                inside = np.isfinite(radius)
+                visit = np.zeros((len(batch), len(pivots)), bool)
+                visit[np.arange(len(batch)), first] = True
+                if not nearest:
+                    visit = (bound <= limit[:, None]) & inside & ~visit
+                query, cell = np.nonzero(visit & inside)
+                number = np.array([pages.get(c, 0) for c in range(len(pivots))])[cell]
+                page = np.arange(number.sum()) - np.repeat(np.cumsum(number) - number, number)
+                query, cell = np.repeat(query, number), np.repeat(cell, number)
+                chosen = batch.iloc[query]
+                yield pd.DataFrame({"cell": cell.astype("int32"), "page": page.astype("int32"), "query_row": chosen["row"].to_numpy(),
+                                    "query_id": chosen["vec_id"].to_numpy(), "least": least[query], "v": chosen["v"].to_numpy()})
         return run
 
     def look(key: tuple, wanted: pd.DataFrame, page: pd.DataFrame) -> pd.DataFrame:
