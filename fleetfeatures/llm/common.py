@@ -10,6 +10,8 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fleetfeatures.session import shared_folder
+
 #: A word is a run of characters that are neither a blank nor one of tab, line feed, vertical tab, form feed, return.
 WORD = r"[^\x20\x09-\x0D]+"
 _BLANKS = "\t\n\x0b\x0c\r"
@@ -22,9 +24,8 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def shared_path(spark: SparkSession) -> str:
-    """A new path in the folder that all executors share (``spark.checkpoint.dir``; a temporary one where unset, as in tests)."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="llm-")
-    return f"{folder.rstrip('/')}/llm-{uuid.uuid4().hex}"
+    """A new path in the folder that all executors share."""
+    return f"{shared_folder(spark).rstrip('/')}/llm-{uuid.uuid4().hex}"
 
 
 def ship(spark: SparkSession) -> None:
@@ -35,7 +36,8 @@ def ship(spark: SparkSession) -> None:
     package = Path(__file__).resolve().parent
     archive = Path(tempfile.mkdtemp(prefix="llm-")) / "fleetfeatures_llm.zip"
     with zipfile.ZipFile(archive, "w") as out:
-        out.write(package.parent / "__init__.py", "fleetfeatures/__init__.py")
+        for module in ("__init__.py", "session.py"):
+            out.write(package.parent / module, f"fleetfeatures/{module}")
         for module in sorted(package.glob("*.py")):
             out.write(module, f"fleetfeatures/llm/{module.name}")
     context.addPyFile(str(archive))
