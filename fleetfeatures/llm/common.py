@@ -51,6 +51,12 @@ def written(df: DataFrame, path: str | None = None) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def numbered(df: DataFrame) -> DataFrame:
+    """The frame with ``row``, a number of its own for each row, written once: a scan that is cut another way (executors lost or
+    joined, files packed anew) would number its rows anew, so later passes read the stored numbers."""
+    return written(df.withColumn("row", F.monotonically_increasing_id()))
+
+
 def small(df: DataFrame, most: int = 10_000) -> DataFrame:
     """The frame, to be broadcast if it has few rows; else joined as Spark sees fit."""
     return F.broadcast(df) if df.limit(most + 1).count() <= most else df

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fleetfeatures.llm.common import without_blanks, written
+from fleetfeatures.llm.common import numbered, without_blanks, written
 
 EDITS = 1
 LEAST = 20
@@ -42,13 +42,9 @@ def _sides(text: Column, probe: Column, key: Column) -> list[Column]:
                      open_left.alias("open"))]
 
 
-def numbered(docs: DataFrame) -> DataFrame:
-    return docs.select(F.struct("*").alias("doc"), F.monotonically_increasing_id().alias("row"))
-
-
-def _lines(docs: DataFrame) -> DataFrame:
-    """row, doc_id, j and line of every line that has a word."""
-    lines = numbered(docs).select("row", F.col("doc.doc_id").alias("doc_id"), F.posexplode(F.split("doc.text", "\n")).alias("j", "line"))
+def _lines(rows: DataFrame) -> DataFrame:
+    """row, doc_id, j and line of every line of ``rows`` (row, doc) that has a word."""
+    lines = rows.select("row", F.col("doc.doc_id").alias("doc_id"), F.posexplode(F.split("doc.text", "\n")).alias("j", "line"))
     return lines.filter(F.length(without_blanks(F.col("line"))) > 0)
 
 
@@ -78,7 +74,7 @@ def near_lines(docs: DataFrame, firsts: DataFrame) -> DataFrame:
     index = firsts.filter(F.col("k0").isNotNull()).select("place", sides).select(
         "s.key", "s.probe", "s.side", F.col("place.row").alias("row"), F.col("place.j").alias("j"))
     wanted = _meeting(index).groupBy("row").agg(F.collect_list(F.struct("j", "probe", "side")).alias("lines"))
-    texts = numbered(docs).select("row", F.split("doc.text", "\n").alias("text")).join(wanted, "row")
+    texts = docs.select("row", F.split("doc.text", "\n").alias("text")).join(wanted, "row")
     found = texts.select("row", "text", F.explode("lines").alias("x")).select(
         "row", "x.j", "x.probe", "x.side", F.get("text", F.col("x.j")).alias("line"))
     # a second, independent hash of the matched half from here on
@@ -110,13 +106,14 @@ def near_lines(docs: DataFrame, firsts: DataFrame) -> DataFrame:
 
 def line_report(docs: DataFrame) -> DataFrame:
     """One row per document: lines with a word, those removed as repeated and as near, characters left in such lines."""
+    docs = numbered(docs.select(F.struct("doc_id", "text").alias("doc")))
     firsts = first_lines(docs)
     near = near_lines(docs, firsts)
     kept = firsts.select(F.col("place.row").alias("row"), "chars").groupBy("row").agg(
         F.count("*").alias("n_first"), F.sum("chars").alias("first_chars"))
     gone = near.groupBy("row").agg(F.count("*").alias("n_near"), F.sum("chars").alias("near_chars"))
     lines = F.filter(F.split("doc.text", "\n"), lambda s: F.length(without_blanks(s)) > 0)
-    rows = numbered(docs).select("row", F.col("doc.doc_id").alias("doc_id"), F.coalesce(F.size(lines), F.lit(0)).cast("long").alias("n"))
+    rows = docs.select("row", F.col("doc.doc_id").alias("doc_id"), F.coalesce(F.size(lines), F.lit(0)).cast("long").alias("n"))
     rows = rows.withColumn("n", F.greatest("n", F.lit(0).cast("long")))  # size of null is -1 in some settings
     joined = rows.join(kept, "row", "left").join(gone, "row", "left").na.fill(0, ["n_first", "first_chars", "n_near", "near_chars"])
     return joined.select("doc_id", F.col("n").alias("n_lines"), (F.col("n") - F.col("n_first")).alias("n_repeated"),
@@ -125,16 +122,17 @@ def line_report(docs: DataFrame) -> DataFrame:
 
 def dedup_lines(docs: DataFrame, text: str = "text", n_chars: str = "n_chars") -> DataFrame:
     """The documents without the removed lines; columns as they came."""
+    columns, docs = docs.columns, numbered(docs.select(F.struct("*").alias("doc")))
     firsts = first_lines(docs)
     near = near_lines(docs, firsts).select("row", "j")
     kept = firsts.select(F.col("place.row").alias("row"), F.col("place.j").alias("j")).join(near, ["row", "j"], "left_anti")
     stay = kept.groupBy("row").agg(F.collect_list("j").alias("stay"))
-    rows = numbered(docs).join(stay, "row", "left").select("doc", F.split(f"doc.{text}", "\n").alias("lines"), F.coalesce("stay", F.array().cast("array<int>")).alias("stay"))
+    rows = docs.join(stay, "row", "left").select("doc", F.split(f"doc.{text}", "\n").alias("lines"), F.coalesce("stay", F.array().cast("array<int>")).alias("stay"))
     blank = F.filter(F.transform("lines", lambda s, i: F.when(F.length(without_blanks(s)) == 0, i)), lambda i: i.isNotNull())
     rows = rows.select("doc", "lines", F.sort_array(F.concat("stay", blank)).alias("keep"))
     clean = F.array_join(F.transform("keep", lambda j: F.get("lines", j)), "\n").alias("clean")
     fixed = {text: F.col("clean"), n_chars: F.length("clean").cast("long")}
-    return rows.select("doc", clean).select(*[(fixed[c] if c in fixed else F.col("doc")[c]).alias(c) for c in docs.columns])
+    return rows.select("doc", clean).select(*[(fixed[c] if c in fixed else F.col("doc")[c]).alias(c) for c in columns])
 
 
 #: Steps of check SQL from a table ``d`` (r, doc_id, text; r numbers the rows) to ``stays`` (r, j, l: lines that stay).

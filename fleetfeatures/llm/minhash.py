@@ -35,7 +35,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetfeatures.llm.common import ship, written
+from fleetfeatures.llm.common import numbered, ship, written
 from fleetfeatures.llm.graph import components
 from fleetfeatures.llm.hashing import U, groups, mix, windows, word_hashes
 
@@ -105,7 +105,7 @@ def _bytes(texts: pd.Series) -> list[bytes]:
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """row, doc_id, set_id (a digest of the shingle set) and band keys of every row; ``row`` numbers the rows of ``docs``."""
+    """row, doc_id, set_id (a digest of the shingle set) and band keys of every row of ``docs`` (row, doc_id, text)."""
     ship(docs.sparkSession)
 
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -116,16 +116,11 @@ def signatures(docs: DataFrame) -> DataFrame:
                 keys.append(band_keys(dart_signature(elements, np.ones(len(elements)))) if len(elements) else np.zeros(0, np.int64))
             yield pd.DataFrame({"row": batch["row"], "doc_id": batch["doc_id"], "set_id": ids, "bands": keys})
 
-    rows = numbered(docs).select("row", F.col("doc_id").cast("string").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    rows = docs.select("row", F.col("doc_id").cast("string").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     signed = rows.mapInPandas(sign, "row long, doc_id string, set_id string, bands array<long>")
     return written(signed.withColumn("doc_id", F.col("doc_id").cast(docs.schema["doc_id"].dataType)))
 
 
-def numbered(docs: DataFrame) -> DataFrame:
-    """doc_id, text and ``row``: partition and place in it, the same whenever this frame is read."""
-    return docs.select("doc_id", "text", F.monotonically_increasing_id().alias("row"))
-
-
 def shingle_arrays(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     """(node, shingles) for the rows named in ``nodes``."""
     def shingle(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -133,7 +128,7 @@ def shingle_arrays(docs: DataFrame, nodes: DataFrame) -> DataFrame:
             sets = [e.view(np.int64) for e, _ in shingle_sets(_bytes(batch["text"]))]
             yield pd.DataFrame({"node": batch["row"], "shingles": sets})
 
-    wanted = numbered(docs).join(nodes, F.col("row") == F.col("node"), "left_semi")
+    wanted = docs.join(nodes, F.col("row") == F.col("node"), "left_semi")
     texts = wanted.select("row", F.coalesce("text", F.lit("")).alias("text"))
     return written(texts.mapInPandas(shingle, "node long, shingles array<long>"))
 
@@ -224,7 +219,7 @@ def linked_nodes(docs: DataFrame, nodes: DataFrame) -> DataFrame:
 
 
 def near_classes(docs: DataFrame) -> DataFrame:
-    """One row per document: row, doc_id, class_id (the least doc_id of its class), class_size, stays."""
+    """One row per document of ``docs`` (row, doc_id, text): row, doc_id, class_id (the least doc_id of its class), class_size, stays."""
     signed = signatures(docs)
     sets = written(signed.groupBy("set_id").agg(F.min("row").alias("node"), F.first("bands").alias("bands")))
     parts = linked_nodes(docs, sets.select("node", "bands"))
@@ -238,11 +233,11 @@ def near_classes(docs: DataFrame) -> DataFrame:
 
 
 def class_report(docs: DataFrame) -> DataFrame:
-    return near_classes(docs).select("doc_id", "class_id", "class_size", "stays")
+    return near_classes(numbered(docs.select("doc_id", "text"))).select("doc_id", "class_id", "class_size", "stays")
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """The documents without those whose class keeps another; columns as they came."""
-    gone = written(near_classes(docs).filter(~F.col("stays")).select(F.col("row").alias("gone")))
-    rows = docs.select(F.struct("*").alias("doc"), F.monotonically_increasing_id().alias("row"))
+    rows = numbered(docs.select(F.struct("*").alias("doc")))
+    gone = written(near_classes(rows.select("row", "doc.doc_id", "doc.text")).filter(~F.col("stays")).select(F.col("row").alias("gone")))
     return rows.join(gone, F.col("row") == F.col("gone"), "left_anti").select(*[F.col("doc")[c].alias(c) for c in docs.columns])

@@ -33,7 +33,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetfeatures.llm.common import remove, shared_path, ship, written
+from fleetfeatures.llm.common import numbered, remove, shared_path, ship, written
 from fleetfeatures.llm.hashing import U, groups, inverse_powers, mix, powers
 
 LENGTH = 200
@@ -107,11 +107,6 @@ def _place(p: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
     return (p << 16) | (low << 8) | high
 
 
-def numbered(docs: DataFrame) -> DataFrame:
-    return docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("body"),
-                       F.monotonically_increasing_id().alias("row"))
-
-
 def suffixes(bodies: DataFrame) -> DataFrame:
     """The anchored suffixes of all texts."""
     ship(bodies.sparkSession)
@@ -176,9 +171,9 @@ class SuffixLevels:
         self.levels = []
 
 
-def repeated_suffixes(docs: DataFrame, batches: int = BATCHES) -> DataFrame:
+def repeated_suffixes(bodies: DataFrame, batches: int = BATCHES) -> DataFrame:
     """The suffixes whose key another suffix has too, of any batch."""
-    bodies, index, keys = numbered(docs), SuffixLevels(docs.sparkSession), None
+    index, keys = SuffixLevels(bodies.sparkSession), None
     for k in range(batches):
         found = written(index.append(suffixes(bodies.filter(F.pmod(F.xxhash64("row"), F.lit(batches)) == k))))
         keys = found if keys is None else keys.unionAll(found)
@@ -236,7 +231,7 @@ CONTEXT = "key long, row long, place long, single boolean, body binary"
 FOUND = "row long, first long, last long"
 
 
-def contexts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+def contexts(bodies: DataFrame, wanted: DataFrame) -> DataFrame:
     """The contexts' bytes for ``wanted`` (key, row, place, single)."""
     def slices(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -248,7 +243,7 @@ def contexts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                 yield pd.DataFrame(out, columns=["key", "row", "place", "single", "body"])
 
     items = wanted.groupBy("row").agg(F.collect_list(F.struct("key", "place", "single")).alias("items"))
-    return numbered(docs).select("row", "body").join(items, "row").mapInPandas(slices, CONTEXT)
+    return bodies.select("row", "body").join(items, "row").mapInPandas(slices, CONTEXT)
 
 
 def _runs(row: np.ndarray, place: np.ndarray, offset: np.ndarray) -> pd.DataFrame:
@@ -319,9 +314,9 @@ def settle_apart(found: DataFrame) -> DataFrame:
     return repeated(grams).filter("single").select("row", start.alias("first"), start.alias("last"))
 
 
-def repeated_runs(docs: DataFrame, batches: int = BATCHES) -> DataFrame:
-    """(row, first, last): runs of places where a long string starts that also starts elsewhere."""
-    rows = repeated_suffixes(docs, batches)
+def repeated_runs(bodies: DataFrame, batches: int = BATCHES) -> DataFrame:
+    """(row, first, last): runs of places of ``bodies`` (row, body) where a long string starts that also starts elsewhere."""
+    rows = repeated_suffixes(bodies, batches)
     alike = rows.groupBy("key", "ctx").agg(F.count("*").alias("n"), F.min(F.struct("row", "place")).alias("one"))
     alike = written(alike.select("key", "ctx", "n", "one.row", "one.place"))
     copies = rows.join(alike.filter("n > 1").select("key", "ctx"), ["key", "ctx"], "left_semi")
@@ -331,8 +326,8 @@ def repeated_runs(docs: DataFrame, batches: int = BATCHES) -> DataFrame:
     many = alike.groupBy("key").agg(F.count("*").alias("m"), F.min("n").alias("least")).filter("m > 1 AND least = 1")
     unlike = alike.join(many, "key").select("key", "row", "place", (F.col("n") == 1).alias("single"), "m")
     wanted = written(unlike.select("key", "row", "place", "single", "m"))
-    near = settle_together(contexts(docs, wanted.filter(F.col("m") <= TOGETHER)))
-    wide = written(contexts(docs, wanted.filter(F.col("m") > TOGETHER)))
+    near = settle_together(contexts(bodies, wanted.filter(F.col("m") <= TOGETHER)))
+    wide = written(contexts(bodies, wanted.filter(F.col("m") > TOGETHER)))
     return settled.unionAll(near).unionAll(settle_apart(wide))
 
 
@@ -358,7 +353,8 @@ def without_repeats(body: bytes, runs) -> tuple[bytes, int, int]:
 
 def repeat_report(docs: DataFrame, batches: int = BATCHES) -> DataFrame:
     """One row per document: bytes, bytes removed, runs removed, digest of what is left."""
-    runs = written(repeated_runs(docs, batches)).groupBy("row").agg(F.collect_list(F.struct("first", "last")).alias("runs"))
+    bodies = numbered(docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("body")))
+    runs = written(repeated_runs(bodies, batches)).groupBy("row").agg(F.collect_list(F.struct("first", "last")).alias("runs"))
 
     def report(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -368,5 +364,5 @@ def repeat_report(docs: DataFrame, batches: int = BATCHES) -> DataFrame:
                 out.append((doc_id, len(body), removed, spans, hashlib.sha256(kept).hexdigest()))
             yield pd.DataFrame(out, columns=[c.split()[0] for c in REPORT.split(", ")])
 
-    rows = numbered(docs).join(runs, "row", "left").select(F.col("doc_id").cast("string").alias("doc_id"), "body", "runs")
+    rows = bodies.join(runs, "row", "left").select(F.col("doc_id").cast("string").alias("doc_id"), "body", "runs")
     return rows.mapInPandas(report, REPORT).withColumn("doc_id", F.col("doc_id").cast(docs.schema["doc_id"].dataType))
