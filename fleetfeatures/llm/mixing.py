@@ -130,26 +130,38 @@ def mix(docs: DataFrame, labels: DataFrame | None = None) -> DataFrame:
                          F.col("plan_target").alias("target"), (copies() * F.col("size")).cast("long").alias("taken"))
 
 
-def mix_rows(docs: DataFrame) -> DataFrame:
+def mix_rows(docs: DataFrame, labels: DataFrame | None = None) -> DataFrame:
     """The documents of the mix, each row as often as it is passed; columns as they came.
 
-    Whether a row is in depends on its source's plan alone, so texts are not shuffled.
+    Whether a row is in depends on its source's plan and its own key. Only labelled documents (id and weight, no texts) are
+    joined to the rows.
     """
-    plan = written(source_plan(sliced_rows(keyed(slim_rows(docs), F.lit(1.0)))))
+    slim = slim_rows(docs)
+    plan = written(source_plan(sliced_rows(keyed(slim, F.lit(1.0)) if labels is None else keyed(with_quality(slim, labels), F.col("weight")))))
     digest = digest_of(F.col("row.doc_id"), F.col("row.text"))
-    rows = docs.select(F.struct("*").alias("row")).select("row", digest.alias("digest")).withColumn(
-        "key", exponential_key(F.col("digest"), F.lit(1.0)))
+    rows = docs.select(F.struct("*").alias("row")).select("row", digest.alias("digest"))
+    weight = F.lit(1.0)
+    if labels is not None:
+        rated = small(written(quality_weights(labels)))
+        rows = rows.join(rated, F.col("row.doc_id") == F.col("l_doc_id"), "left")
+        weight = F.coalesce("weight", F.lit(1.0))
+    rows = rows.withColumn("key", exponential_key(F.col("digest"), weight))
     joined = rows.join(small(times(plan)), F.col("row.source").eqNullSafe(F.col("plan_source")))
     repeated = joined.withColumn("again", F.explode(F.array_repeat(F.lit(1), copies().cast("int"))))
     return repeated.select(*[F.col("row")[c].alias(c) for c in docs.columns])
 
 
-def with_quality(slim: DataFrame, labels: DataFrame) -> DataFrame:
-    """Slim rows with a quality weight from labels: 2 good, 0.5 poor, 1 not labelled (the best label counts)."""
+def quality_weights(labels: DataFrame) -> DataFrame:
+    """(l_doc_id, weight): 2 good, 0.5 poor, 1 not labelled (the best label counts)."""
     rated = labels.filter("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("l_doc_id")).agg(
         F.max("quality").alias("quality"))
-    weight = F.when(F.col("quality") == 1, 2.0).when(F.col("quality") == 0, 0.5).otherwise(1.0)
-    return slim.join(rated, F.col("doc_id") == F.col("l_doc_id"), "left").withColumn("weight", weight)
+    return rated.select("l_doc_id", F.when(F.col("quality") == 1, 2.0).when(F.col("quality") == 0, 0.5).otherwise(1.0).alias("weight"))
+
+
+def with_quality(slim: DataFrame, labels: DataFrame) -> DataFrame:
+    """Slim rows with a quality weight from labels."""
+    joined = slim.join(quality_weights(labels), F.col("doc_id") == F.col("l_doc_id"), "left")
+    return joined.withColumn("weight", F.coalesce("weight", F.lit(1.0)))
 
 
 #: Steps of check SQL from a table ``d`` (doc_id, source, size, weight) to ``mixed``.

@@ -7,7 +7,7 @@ from collections import Counter
 import pytest
 from test_llm import DOCS, _odd_rows, _prose
 
-from fleetfeatures.llm import linededup, minhash, suffix
+from fleetfeatures.llm import linededup, minhash, mixing, suffix
 
 ROW_OPERATORS = [suffix.repeat_report, minhash.class_report, minhash.keep_one, linededup.line_report, linededup.dedup_lines]
 
@@ -38,3 +38,13 @@ def test_rows_keep_their_numbers_when_files_are_cut_anew(spark, monkeypatch, tmp
         spark.conf.unset("spark.sql.files.minPartitionNum")
         spark.conf.unset("spark.sql.files.openCostInBytes")
     assert passes[0] > 2 and got == want
+
+
+def test_rows_of_the_mix_follow_quality(spark):
+    docs = spark.createDataFrame([(i, _prose(i, 10), "en", "a" if i % 4 else "b", 1) for i in range(2000)], DOCS)
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(2000)] + [(1, 0, 0), (None, 1, 0)], "doc_id long, quality int, toxic int")
+    passed = Counter(r.doc_id for r in mixing.mix_rows(docs, labels).collect())
+    for r in mixing.mix(docs, labels).collect():
+        assert passed[r.doc_id] * r.size == r.taken
+    good, poor = (sum(n for i, n in passed.items() if i % 2 == k and i % 4) for k in (1, 0))
+    assert good > 2 * 1.15 * poor  # of source a two in three are good
