@@ -7,8 +7,8 @@ counts once its success mark is there, so an id that was committed is not
 counted again, and one that broke off is written anew. Totals are the sums over
 committed folders; ``compact`` folds them into one, which keeps the ids.
 
-Defined cases: null texts have no tokens but count as documents; null sources
-and languages are groups of their own; keys whose counts came back to zero leave
+Defined cases: null texts have no tokens but count as documents; null sources,
+languages and tokenizer versions are groups of their own; keys whose counts came back to zero leave
 the totals; repeated rows count as often as they come; an empty batch is a valid
 commit; only named columns are read.
 """
@@ -25,8 +25,8 @@ from fleetfeatures.llm.common import remove, ship, words_of, written
 from fleetfeatures.llm.tokens import BytePairCounter, once, tokenizer_file
 
 KEYS = ["source", "lang", "tokenizer"]
-TOTALS = "source string, lang string, tokenizer string, n_docs long, n_tokens long"
-_IDS = "_ids"
+#: ``batch_id`` is set in the id marks of a fold only; folders of batches, and older ones, have no such column.
+TOTALS = "source string, lang string, tokenizer string, n_docs long, n_tokens long, batch_id string"
 
 
 def tokens_of(file: str) -> Callable[[Column], Column]:
@@ -79,8 +79,8 @@ class Rollup:
         return [folds[-1], *(n for n in done if not n.startswith("fold-") and n.removeprefix("batch-") not in inside)]
 
     def _ids_of(self, fold: str) -> set[str]:
-        rows = self.spark.read.parquet(f"{self.path}/{fold}").filter(F.col("tokenizer").isNull() & F.col("lang").startswith(_IDS))
-        return {r.source for r in rows.select("source").collect()}
+        rows = self.spark.read.schema(TOTALS).parquet(f"{self.path}/{fold}").filter(F.col("batch_id").isNotNull())
+        return {r.batch_id for r in rows.select("batch_id").collect()}
 
     def committed(self) -> set[str]:
         ids: set[str] = set()
@@ -105,15 +105,15 @@ class Rollup:
         return read.parquet(*folders) if folders else self.spark.createDataFrame([], TOTALS)
 
     def totals(self) -> DataFrame:
-        rows = self._rows().filter(F.col("tokenizer").isNotNull())
+        rows = self._rows().filter(F.col("batch_id").isNull())
         return self._sums(rows).filter("n_docs <> 0 OR n_tokens <> 0")
 
     def compact(self) -> None:
         """Fold all batches into one folder, with their ids; then delete what was folded."""
         old, ids = self._folders(), sorted(self.committed())
-        marks = self.spark.createDataFrame([(i, _IDS, None, 0, 0) for i in ids], TOTALS)
+        marks = self.spark.createDataFrame([(None, None, None, 0, 0, i) for i in ids], TOTALS)
         number = 1 + max([int(n.removeprefix("fold-")) for n in old if n.startswith("fold-")], default=0)
-        self.totals().unionAll(marks).coalesce(1).write.mode("overwrite").parquet(f"{self.path}/fold-{number:09d}")
+        self.totals().unionByName(marks, allowMissingColumns=True).coalesce(1).write.mode("overwrite").parquet(f"{self.path}/fold-{number:09d}")
         for name in old:
             remove(self.spark, f"{self.path}/{name}")
 

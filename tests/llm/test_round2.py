@@ -7,7 +7,8 @@ from collections import Counter
 import pytest
 from test_llm import DOCS, _odd_rows, _prose
 
-from fleetfeatures.llm import linededup, minhash, mixing, suffix
+from fleetfeatures.llm import linededup, minhash, mixing, suffix, tokencounts
+from fleetfeatures.llm.common import shared_path
 
 ROW_OPERATORS = [suffix.repeat_report, minhash.class_report, minhash.keep_one, linededup.line_report, linededup.dedup_lines]
 
@@ -48,3 +49,15 @@ def test_rows_of_the_mix_follow_quality(spark):
         assert passed[r.doc_id] * r.size == r.taken
     good, poor = (sum(n for i, n in passed.items() if i % 2 == k and i % 4) for k in (1, 0))
     assert good > 2 * 1.15 * poor  # of source a two in three are good
+
+
+def test_null_tokenizer_versions_are_a_group(spark):
+    counts = spark.createDataFrame([("a", "en", None, 5), ("a", "_ids", None, 2), ("a", "en", "v", 3)],
+                                   "source string, lang string, tokenizer string, tokens long")
+    rollup = tokencounts.Rollup(spark, shared_path(spark))
+    want = {("a", "en", None, 1, 5), ("a", "_ids", None, 1, 2), ("a", "en", "v", 1, 3)}
+    assert rollup.commit("1", tokencounts.inserts(counts))
+    for _ in range(2):
+        assert {tuple(r) for r in rollup.totals().collect()} == want and rollup.committed() == {"1"}
+        rollup.compact()
+    assert not rollup.commit("1", tokencounts.inserts(counts)) and {tuple(r) for r in rollup.totals().collect()} == want
