@@ -1,19 +1,20 @@
-"""Operator 10, line dedup: equal lines and lines one edit apart, with column expressions only.
+"""Operator 10, line dedup: equal lines and lines a few edits apart, with column expressions only.
 
 A line with a word stays where it occurs first (by doc_id, null last, then row and line number); later occurrences go.
-A first occurrence goes too if a line that occurs earlier is one insertion, deletion or replacement away from it and both
-have at least ``LEAST`` characters.
+A first occurrence goes too if a line that occurs earlier is at most ``edits`` insertions, deletions or replacements away from
+it and both have at least ``LEAST`` characters.
 
-Lines one edit apart are found by a segment-partition join. For one edit a line has two segments (halves); one of them
-occurs unchanged in the other line, at the start or the end, so a line probes the index of segments for lines of its own
-length and of one character less. Index entries and probes that share a segment are split again in what is left open, until
-two characters are open: a group then holds lines that are equal elsewhere, whatever number of lines shares a first half.
-Sizes of groups are counted before anything is joined, and no group's pairs are formed before that. Open parts are
-verified by the banded ``levenshtein`` function.
+Lines t edits apart are found by a segment-partition join. A line has t + 1 segments; one of them occurs unchanged in the
+other line, near its own place, so a line probes the index of segments for lines of its own length and of up to t characters
+less. A probe's places follow from the edits that can lie before and after the segment. What is left and right of a shared
+segment stays open, and index entries and probes that share a segment are split again in it, until few characters are open:
+a group then holds lines that are equal elsewhere, whatever number of lines shares a first segment. Beyond one edit a pair has
+several common segments, so only groups of more than ``TOGETHER`` are split again there. Sizes of groups are counted before
+anything is joined, and no group's pairs are formed before that. Open parts are verified by the banded ``levenshtein`` function.
 
 Defined cases: null and empty texts have no lines; lines without a word stay and are not counted; equal rows are
 occurrences of their own, the later one loses its lines; extra columns stay, also under names used here; very long lines are
-halved more often.
+split more often.
 """
 
 from __future__ import annotations
@@ -25,21 +26,50 @@ from fleetfeatures.llm.common import numbered, without_blanks, written
 
 EDITS = 1
 LEAST = 20
-OPEN = 2
+TOGETHER = 16
+#: Stands in open parts where a segment was; lines do not hold it.
+CUT = "\n"
 
 
-def _sides(text: Column, probe: Column, key: Column) -> list[Column]:
-    """The two halves of an open part: (key of the half that must be equal, what stays open).
+def _entries(edits: int, index: bool, shorter: int) -> list[tuple[bool, int, int, int]]:
+    """How a text is split that is indexed, or else that is to match texts ``shorter`` characters shorter:
+    (is an index entry, shorter, segment, how far the segment is moved). An index entry is a probe for its own length too."""
+    moves = [(i, m) for i in range(edits + 1)
+             for m in range(max(-i, shorter - edits + i), min(i, shorter + edits - i) + 1)]
+    if not index:
+        return [(False, shorter, i, m) for i, m in moves]
+    return [(True, 0, i, 0) for i in range(edits + 1)] + [(False, 0, i, m) for i, m in moves if m]
 
-    ``probe`` is 1 where the part is to match parts that are one character shorter.
-    """
-    base = F.length(text) - probe
-    left = F.floor(base / 2).cast("int")
-    right = (base - left).cast("int")
-    open_right, open_left = F.substring(text, left + 1, F.length(text)), F.substring(text, F.lit(1), F.length(text) - right)
-    return [F.struct(F.xxhash64(key, F.lit(0), base, F.substring(text, F.lit(1), left)).alias("key"), open_right.alias("open")),
-            F.struct(F.xxhash64(key, F.lit(1), base, F.substring(text, F.length(text) - right + 1, right)).alias("key"),
-                     open_left.alias("open"))]
+
+def _first_entries(edits: int) -> list[tuple[bool, int, int, int]]:
+    return _entries(edits, True, 0) + [e for d in range(1, edits + 1) for e in _entries(edits, False, d)]
+
+
+def _part(text: Column, key: Column, edits: int, entry: tuple[bool, int, int, int]) -> Column:
+    """One segment of an open part: (key of the segment that must be equal, what stays open); null where it does not fit."""
+    _, shorter, i, move = entry
+    base = F.length(text) - shorter
+    first = F.floor(base * i / (edits + 1)).cast("int")
+    size = F.floor(base * (i + 1) / (edits + 1)).cast("int") - first
+    start = first + move
+    left, right = F.substring(text, F.lit(1), start), F.substring(text, start + size + 1, F.length(text))
+    rest = right if i == 0 else left if i == edits else F.concat(left, F.lit(CUT), right)
+    found = F.struct(F.xxhash64(key, F.lit(i), base, F.substring(text, start + 1, size)).alias("key"), rest.alias("open"))
+    return F.when((base > 0) & (start >= 0) & (start + size <= F.length(text)), found)
+
+
+def _near(one: Column, other: Column, edits: int) -> Column:
+    """Whether open parts are at most ``edits`` apart, each piece between cuts by itself."""
+    near = F.levenshtein(one, other, edits) >= 0
+    if edits == 1:  # a segment is at an end then, nothing is cut
+        return near
+
+    def apart(a: Column, b: Column) -> Column:
+        steps = F.levenshtein(a, b, edits)
+        return F.when(steps < 0, edits + 1).otherwise(steps)
+
+    pieces = F.zip_with(F.split(one, CUT), F.split(other, CUT), apart)
+    return near & (F.aggregate(pieces, F.lit(0), lambda n, x: n + x) <= edits)
 
 
 def _lines(rows: DataFrame) -> DataFrame:
@@ -48,52 +78,60 @@ def _lines(rows: DataFrame) -> DataFrame:
     return lines.filter(F.length(without_blanks(F.col("line"))) > 0)
 
 
-def first_lines(docs: DataFrame) -> DataFrame:
-    """One row per distinct line: its identity, where it occurs first, characters, keys of its halves (index, then probes)."""
+def first_lines(docs: DataFrame, edits: int = EDITS) -> DataFrame:
+    """One row per distinct line: its identity, where it occurs first, characters, keys of its segments (index, then probes)."""
     place = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.col("row"), F.col("j"))
     long = F.length("line") >= LEAST
-    keys = [F.when(long, side["key"]) for probe in (0, 1) for side in _sides(F.col("line"), F.lit(probe), F.lit(0))]
+    keys = [F.when(long, _part(F.col("line"), F.lit(0), edits, e)["key"]) for e in _first_entries(edits)]
     lines = _lines(docs).select(
         F.xxhash64("line").alias("h"), F.xxhash64(F.lit(7), "line").alias("g"), place.alias("place"),
         F.length("line").cast("long").alias("chars"), *[k.alias(f"k{i}") for i, k in enumerate(keys)])
     firsts = lines.groupBy("h", "g").agg(F.min("place").alias("place"), F.first("chars").alias("chars"),
-                                         *[F.first(f"k{i}").alias(f"k{i}") for i in range(4)])
+                                         *[F.first(f"k{i}").alias(f"k{i}") for i in range(len(keys))])
     return written(firsts)
 
 
-def _meeting(rows: DataFrame) -> DataFrame:
-    """Rows whose key holds an index entry (probe 0) and something else."""
-    sizes = rows.groupBy("key").agg(F.count("*").alias("n"), F.min("probe").alias("least")).filter("n > 1 AND least = 0")
-    return rows.join(sizes.select("key"), "key", "left_semi")
+def _meeting(rows: DataFrame, edits: int) -> DataFrame:
+    """Rows whose key holds an index entry and something else, with ``few``: the group can be compared as it is."""
+    sizes = rows.groupBy("key").agg(F.count("*").alias("n"), F.max("index").alias("any_index")).filter("n > 1 AND any_index")
+    few = (F.col("n") <= TOGETHER) if edits > 1 else F.lit(False)
+    return rows.drop("few").join(sizes.select("key", few.alias("few")), "key")
 
 
-def near_lines(docs: DataFrame, firsts: DataFrame) -> DataFrame:
-    """(row, j, chars) of first occurrences that are one edit away from an earlier line."""
-    sides = F.explode(F.array(*[F.struct(F.col(f"k{i}").alias("key"), F.lit(i // 2).alias("probe"), F.lit(i % 2).alias("side"))
-                                for i in range(4)])).alias("s")
-    index = firsts.filter(F.col("k0").isNotNull()).select("place", sides).select(
-        "s.key", "s.probe", "s.side", F.col("place.row").alias("row"), F.col("place.j").alias("j"))
-    wanted = _meeting(index).groupBy("row").agg(F.collect_list(F.struct("j", "probe", "side")).alias("lines"))
+def near_lines(docs: DataFrame, firsts: DataFrame, edits: int = EDITS) -> DataFrame:
+    """(row, j, chars) of first occurrences that are at most ``edits`` edits away from an earlier line."""
+    entries = _first_entries(edits)
+    kinds = F.explode(F.array(*[F.struct(F.col(f"k{i}").alias("key"), F.lit(i).alias("kind"), F.lit(e[0]).alias("index"))
+                                for i, e in enumerate(entries)])).alias("s")
+    index = firsts.filter(F.col("k0").isNotNull()).select("place", kinds).filter(F.col("s.key").isNotNull()).select(
+        "s.key", "s.kind", "s.index", F.col("place.row").alias("row"), F.col("place.j").alias("j"))
+    wanted = _meeting(index, edits).groupBy("row").agg(F.collect_list(F.struct("j", "kind", "few")).alias("lines"))
     texts = docs.select("row", F.split("doc.text", "\n").alias("text")).join(wanted, "row")
     found = texts.select("row", "text", F.explode("lines").alias("x")).select(
-        "row", "x.j", "x.probe", "x.side", F.get("text", F.col("x.j")).alias("line"))
-    # a second, independent hash of the matched half from here on
+        "row", "x.j", "x.kind", "x.few", F.get("text", F.col("x.j")).alias("line"))
+    # a second, independent hash of the matched segment from here on
     seed = F.lit(11).cast("long")
-    rows = found.select("row", "j", "probe", F.get(F.array(*_sides(F.col("line"), F.col("probe"), seed)), F.col("side")).alias("s"))
-    rows = written(rows.select("s.key", "row", "j", "probe", "s.open"))
+    part = F.coalesce(*[F.when(F.col("kind") == i, _part(F.col("line"), seed, edits, e)) for i, e in enumerate(entries)])
+    rows = found.select("row", "j", "few", F.get(F.array(*[F.lit(e[0]) for e in entries]), F.col("kind")).alias("index"),
+                        F.get(F.array(*[F.lit(e[1]) for e in entries]), F.col("kind")).alias("shorter"), part.alias("s"))
+    rows = written(rows.select("s.key", "row", "j", "index", "shorter", "few", "s.open"))
+    again = [(e, role) for role in [(True, 0), *[(False, d) for d in range(edits + 1)]] for e in _entries(edits, *role)]
     done = None
     while True:
-        settled = F.length("open") - F.col("probe") <= OPEN
+        settled = F.col("few") | (F.length("open") - F.col("shorter") <= 2 * edits)
         ready = rows.filter(settled)
         done = ready if done is None else done.unionAll(ready)
-        split = rows.filter(~settled).select("row", "j", "probe", F.explode(F.array(
-            *_sides(F.col("open"), F.col("probe"), F.col("key")))).alias("s"))
-        rows = written(_meeting(split.select("s.key", "row", "j", "probe", "s.open")))
+        split = rows.filter(~settled).select("row", "j", F.explode(F.array(*[
+            F.when((F.col("index") == role[0]) & (F.col("shorter") == role[1]), F.struct(
+                F.lit(e[0]).alias("index"), F.lit(e[1]).alias("shorter"), _part(F.col("open"), F.col("key"), edits, e).alias("s")))
+            for e, role in again])).alias("x")).filter(F.col("x.s").isNotNull())
+        split = split.select("x.s.key", "row", "j", "x.index", "x.shorter", "x.s.open")
+        rows = written(_meeting(split, edits).select("key", "row", "j", "index", "shorter", "few", "open"))
         if rows.isEmpty():
             break
     other = done.select("key", F.col("row").alias("o_row"), F.col("j").alias("o_j"), F.col("open").alias("o_open"))
-    pairs = _meeting(done).filter("probe = 0").join(other, "key").filter(
-        ((F.col("row") != F.col("o_row")) | (F.col("j") != F.col("o_j"))) & (F.levenshtein("open", "o_open", EDITS) >= 0))
+    pairs = _meeting(done, edits).filter("index").join(other, "key").filter(
+        ((F.col("row") != F.col("o_row")) | (F.col("j") != F.col("o_j"))) & _near(F.col("open"), F.col("o_open"), edits))
     one = pairs.select("row", "j", "o_row", "o_j").distinct()
     places = firsts.select("place", "chars", F.col("place.row").alias("row"), F.col("place.j").alias("j"))
     mine = one.join(places, ["row", "j"]).withColumnsRenamed({"place": "a", "chars": "a_chars"})
@@ -104,11 +142,11 @@ def near_lines(docs: DataFrame, firsts: DataFrame) -> DataFrame:
     return written(both.select(later.alias("x")).select("x.p.row", "x.p.j", "x.chars").distinct())
 
 
-def line_report(docs: DataFrame) -> DataFrame:
+def line_report(docs: DataFrame, edits: int = EDITS) -> DataFrame:
     """One row per document: lines with a word, those removed as repeated and as near, characters left in such lines."""
     docs = numbered(docs.select(F.struct("doc_id", "text").alias("doc")))
-    firsts = first_lines(docs)
-    near = near_lines(docs, firsts)
+    firsts = first_lines(docs, edits)
+    near = near_lines(docs, firsts, edits)
     kept = firsts.select(F.col("place.row").alias("row"), "chars").groupBy("row").agg(
         F.count("*").alias("n_first"), F.sum("chars").alias("first_chars"))
     gone = near.groupBy("row").agg(F.count("*").alias("n_near"), F.sum("chars").alias("near_chars"))
@@ -120,11 +158,11 @@ def line_report(docs: DataFrame) -> DataFrame:
                          "n_near", (F.col("first_chars") - F.col("near_chars")).alias("n_chars_left"))
 
 
-def dedup_lines(docs: DataFrame, text: str = "text", n_chars: str = "n_chars") -> DataFrame:
+def dedup_lines(docs: DataFrame, text: str = "text", n_chars: str = "n_chars", edits: int = EDITS) -> DataFrame:
     """The documents without the removed lines; columns as they came."""
     columns, docs = docs.columns, numbered(docs.select(F.struct("*").alias("doc")))
-    firsts = first_lines(docs)
-    near = near_lines(docs, firsts).select("row", "j")
+    firsts = first_lines(docs, edits)
+    near = near_lines(docs, firsts, edits).select("row", "j")
     kept = firsts.select(F.col("place.row").alias("row"), F.col("place.j").alias("j")).join(near, ["row", "j"], "left_anti")
     stay = kept.groupBy("row").agg(F.collect_list("j").alias("stay"))
     rows = docs.join(stay, "row", "left").select("doc", F.split(f"doc.{text}", "\n").alias("lines"), F.coalesce("stay", F.array().cast("array<int>")).alias("stay"))

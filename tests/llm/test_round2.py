@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import random
 from collections import Counter
 
 import pytest
-from test_llm import DOCS, _odd_rows, _prose
+from test_llm import DOCS, _edits, _odd_rows, _prose
 
 from fleetfeatures.llm import linededup, minhash, mixing, suffix, tokencounts
 from fleetfeatures.llm.common import shared_path
@@ -61,3 +62,22 @@ def test_null_tokenizer_versions_are_a_group(spark):
         assert {tuple(r) for r in rollup.totals().collect()} == want and rollup.committed() == {"1"}
         rollup.compact()
     assert not rollup.commit("1", tokencounts.inserts(counts)) and {tuple(r) for r in rollup.totals().collect()} == want
+
+
+@pytest.mark.parametrize("edits, together", [(2, 16), (2, 2), (3, 16)])
+def test_lines_a_few_edits_apart(spark, monkeypatch, edits, together):
+    monkeypatch.setattr(linededup, "TOGETHER", together)
+    dice, base = random.Random(edits), [_prose(600 + i, 5) for i in range(8)]
+    lines = []
+    for _ in range(160):
+        line = dice.choice(base)
+        for _ in range(dice.randint(0, edits + 1)):
+            at, how = dice.randrange(len(line)), dice.random()
+            line = line[:at] + ("" if how < 0.3 else dice.choice("xyz")) + line[at + (how < 0.7):]
+        lines.append(line)
+    distinct = list(dict.fromkeys(lines))
+    want = [s for n, s in enumerate(distinct) if len(s) < 20 or not any(
+        len(o) >= 20 and abs(len(o) - len(s)) <= edits and _edits(o, s) <= edits for o in distinct[:n])]
+    docs = spark.createDataFrame([(i, "\n".join(lines[4 * i:4 * i + 4]), "en", "s", 1) for i in range(40)], DOCS)
+    rows = sorted(linededup.dedup_lines(docs, edits=edits).collect(), key=lambda r: r.doc_id)
+    assert [x for r in rows for x in r.text.split("\n") if x] == want
