@@ -1,13 +1,13 @@
-"""Operator 5, long repeats: a logarithmic family of sampled suffix arrays.
+"""Operator 5, long repeats: a logarithmic family of indexes of sampled suffixes.
 
 Every string of ``LENGTH`` bytes holds ``WIDTH`` shorter strings of ``ANCHOR``
 bytes; the one of least hash, the leftmost of equals, is its anchor. Equal long
 strings have equal anchors at equal offsets, so an index of anchored suffixes
 alone finds all repeats; about one suffix in 75 is one.
 
-A batch of documents gets a suffix array: its anchored suffixes, sorted by the
-hash of their first bytes. It is merge-scanned against the levels there are for
-suffixes that begin alike; levels of equal size are merged before the next batch
+A batch of documents gets an index: its anchored suffixes, sorted by the hash of
+their anchor, which stands in for a suffix array (suffixes are not ordered by
+their bytes). It is joined on that hash with the levels there are; levels of equal size are merged before the next batch
 comes, so a suffix is rewritten a logarithmic number of times.
 
 Suffixes that begin alike are then settled byte by byte. An anchor's context is
