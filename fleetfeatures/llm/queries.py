@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fleetfeatures.llm import chat, html, linededup, minhash, mixing, mtree, packing, quality, suffix, tokencounts
+from fleetfeatures.llm import chat, exactdedup, html, linededup, minhash, mixing, mtree, packing, quality, suffix, tokencounts
 from fleetfeatures.llm.common import shared_path, table, written
 from fleetfeatures.llm.tokens import tokenizer_file
 
@@ -75,3 +75,8 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
 @_register("op10_line_dedup", linededup.SQL)
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     return linededup.line_report(table(spark, folder, "documents"))
+
+
+@_register("op13_exact_dedup", exactdedup.SQL)
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    return exactdedup.duplicate_report(table(spark, folder, "documents"))
