@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fleetfeatures.llm import chat, exactdedup, html, linededup, minhash, mixing, mtree, packing, quality, suffix, tokencounts
+from fleetfeatures.llm import chat, exactdedup, html, linededup, minhash, mixing, mtree, negatives, packing, phrases, quality, suffix, tokencounts
 from fleetfeatures.llm.common import shared_path, table, written
 from fleetfeatures.llm.tokens import tokenizer_file
 
@@ -77,6 +77,16 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     return linededup.line_report(table(spark, folder, "documents"))
 
 
+@_register("op11_hard_negatives", negatives.SQL)
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    return negatives.hard_negatives(table(spark, folder, "embeddings"))
+
+
+@_register("op12_phrase_collocations", phrases.SQL)
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    return phrases.collocations(table(spark, folder, "documents"))
+
+
 @_register("op13_exact_dedup", exactdedup.SQL)
 def op13(spark: SparkSession, folder: str) -> DataFrame:
     return exactdedup.duplicate_report(table(spark, folder, "documents"))
