@@ -32,18 +32,21 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetfeatures.llm.common import ship, written
 from fleetfeatures.llm.hashfilter import LOG_BITS, among, bit_field
-from fleetfeatures.llm.hashing import U, groups, mix, powers
+from fleetfeatures.llm.hashing import U, mix, powers
 
 LONGEST = 5
 LEAST = 100
 BEST = 2000
+#: Bytes of text that are cut into words at once (a longer text alone).
+AT_ONCE = 1 << 20
 #: Keys, and distinct sequences, that a task holds before it hands them on.
-HELD = 1 << 22
+HELD = 1 << 21
 HELD_SEQUENCES = 1 << 18
 EXACT = "CAST(1000 * a AS DECIMAL(19,0)) * CAST(n AS DECIMAL(19,0)) div (CAST(l AS DECIMAL(19,0)) * CAST(r AS DECIMAL(19,0)))"
 
@@ -94,9 +97,14 @@ def _salt(lang: str) -> int:
 
 def _read(batch: pa.RecordBatch) -> Iterator[tuple[list[str], Words]]:
     """The words of a batch, about a megabyte of text at a time, with the language of each text."""
-    langs, texts = batch.column("lang").to_pylist(), [t.encode() for t in batch.column("text").to_pylist()]
-    for a, b in groups(texts):
-        yield langs[a:b], Words(texts[a:b], np.array([_salt(x) for x in langs[a:b]], U))
+    texts, column = batch.column("text").cast(pa.binary()), batch.column("lang")
+    upto = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False), dtype=np.int64)
+    start = 0
+    while start < batch.num_rows:
+        end = max(start + 1, int(np.searchsorted(upto, (upto[start - 1] if start else 0) + AT_ONCE, side="right")))
+        langs = column.slice(start, end - start).to_pylist()
+        yield langs, Words(texts.slice(start, end - start).to_pylist(), np.array([_salt(x) for x in langs], U))
+        start = end
 
 
 def _frequent_hashes(docs: DataFrame, least: int) -> DataFrame:
