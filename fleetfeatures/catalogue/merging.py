@@ -24,8 +24,7 @@ _ROUTE_MEANS = [f"route_avg_{m}" for m in ("temp", "wind_speed", "precip", "humi
 
 
 def _prepared(spark: SparkSession, folder: str):
-    tables = trip_tables(spark, folder)
-    return merge.prepare_tables(tables, ORDER), merge.hot_trip_keys(tables)
+    return merge.prepare_tables(trip_tables(spark, folder), ORDER)
 
 
 @register("slots_6h", with_views("sched", f"""
@@ -50,17 +49,25 @@ def slots_1h(spark: SparkSession, folder: str) -> DataFrame:
 SELECT p.*, w.* EXCLUDE (route_id, date) FROM slots6 p LEFT JOIN rw w
 ON p.route_id IS NOT DISTINCT FROM w.route_id AND p.date IS NOT DISTINCT FROM w.date"""))
 def slot_weather(spark: SparkSession, folder: str) -> DataFrame:
-    tables, hot = _prepared(spark, folder)
+    tables = _prepared(spark, folder)
     slots = six_hour_slots(tables["truck_schedule_table"])
-    return plain_times(merge.join_route_weather(slots, tables["routes_weather"], hot.route_slot))
+    return plain_times(merge.join_route_weather(slots, tables["routes_weather"]))
 
 
 @register("route_weather", with_views(MERGE_VIEWS, MERGE_STEPS + f"""
 SELECT s.*, {A1_ROUNDED}, a1.route_description FROM s LEFT JOIN a1
 ON s.truck_id IS NOT DISTINCT FROM a1.truck_id AND s.route_id IS NOT DISTINCT FROM a1.route_id"""))
 def route_weather(spark: SparkSession, folder: str) -> DataFrame:
-    tables, hot = _prepared(spark, folder)
-    return plain_times(rounded(merge.trips_with_route_weather(tables, hot), _ROUTE_MEANS))
+    tables = _prepared(spark, folder)
+    return plain_times(rounded(merge.trips_with_route_weather(tables), _ROUTE_MEANS))
+
+
+@register("weather_by_range", with_views(MERGE_VIEWS, MERGE_STEPS + f"""
+SELECT s.*, {A1_ROUNDED}, a1.route_description FROM s LEFT JOIN a1
+ON s.truck_id IS NOT DISTINCT FROM a1.truck_id AND s.route_id IS NOT DISTINCT FROM a1.route_id"""))
+def weather_by_range(spark: SparkSession, folder: str) -> DataFrame:
+    tables = _prepared(spark, folder)
+    return plain_times(rounded(merge.trips_with_route_weather(tables, by_range=True), _ROUTE_MEANS))
 
 
 @register("trips_with_routes", with_views(MERGE_VIEWS, MERGE_STEPS + f"""
@@ -68,32 +75,40 @@ SELECT s.*, {sql_round_hour('estimated_arrival')} AS estimated_arrival_nearest_h
        {sql_round_hour('departure_date')} AS departure_date_nearest_hour, r.* EXCLUDE (route_id)
 FROM s LEFT JOIN r ON s.route_id IS NOT DISTINCT FROM r.route_id"""))
 def trips_with_routes(spark: SparkSession, folder: str) -> DataFrame:
-    tables, hot = _prepared(spark, folder)
+    tables = _prepared(spark, folder)
     trips = merge.add_nearest_hours(tables["truck_schedule_table"])
-    return plain_times(join_on(trips, tables["routes_table"], ["route_id"], hot=hot.route))
+    return plain_times(join_on(trips, tables["routes_table"], ["route_id"]))
 
 
 @register("city_weather_both", with_views(MERGE_VIEWS, MERGE_STEPS + "SELECT * FROM ends"))
 def city_weather_both(spark: SparkSession, folder: str) -> DataFrame:
-    tables, hot = _prepared(spark, folder)
-    return plain_times(merge.trips_with_city_weather(tables, hot))
+    tables = _prepared(spark, folder)
+    return plain_times(merge.trips_with_city_weather(tables))
 
 
 @register("slot_traffic", with_views(MERGE_VIEWS, MERGE_STEPS + """
 SELECT truck_id, route_id, custom_date, date, no_of_vehicles, accident FROM slott"""))
 def slot_traffic(spark: SparkSession, folder: str) -> DataFrame:
-    tables, hot = _prepared(spark, folder)
+    tables = _prepared(spark, folder)
     hours = hourly_slots(merge.round_trip_times(tables["truck_schedule_table"])).select(
         "truck_id", "route_id", "custom_date")
-    return plain_times(merge.join_traffic(hours, tables["traffic_table"], hot.route_hour))
+    return plain_times(merge.join_traffic(hours, tables["traffic_table"]))
 
 
 @register("traffic_on_route", with_views(MERGE_VIEWS, MERGE_STEPS + f"""
 SELECT s.*, {VEHICLES_ROUNDED}, accident FROM s LEFT JOIN a2
 ON s.truck_id IS NOT DISTINCT FROM a2.truck_id AND s.route_id IS NOT DISTINCT FROM a2.route_id"""))
 def traffic_on_route(spark: SparkSession, folder: str) -> DataFrame:
-    tables, hot = _prepared(spark, folder)
-    return plain_times(rounded(merge.trips_with_traffic(tables, hot), ["avg_no_of_vehicles"]))
+    tables = _prepared(spark, folder)
+    return plain_times(rounded(merge.trips_with_traffic(tables), ["avg_no_of_vehicles"]))
+
+
+@register("traffic_by_range", with_views(MERGE_VIEWS, MERGE_STEPS + f"""
+SELECT s.*, {VEHICLES_ROUNDED}, accident FROM s LEFT JOIN a2
+ON s.truck_id IS NOT DISTINCT FROM a2.truck_id AND s.route_id IS NOT DISTINCT FROM a2.route_id"""))
+def traffic_by_range(spark: SparkSession, folder: str) -> DataFrame:
+    tables = _prepared(spark, folder)
+    return plain_times(rounded(merge.trips_with_traffic(tables, by_range=True), ["avg_no_of_vehicles"]))
 
 
 @register("merge_back", with_views(MERGE_VIEWS, MERGE_STEPS + f"""
@@ -101,8 +116,8 @@ SELECT ends.*, {A1_ROUNDED}, a1.route_description, {VEHICLES_ROUNDED}, a2.accide
 FROM ends LEFT JOIN a1 ON ends.truck_id = a1.truck_id AND ends.route_id = a1.route_id
 LEFT JOIN a2 ON ends.truck_id = a2.truck_id AND ends.route_id = a2.route_id"""))
 def merge_back(spark: SparkSession, folder: str) -> DataFrame:
-    tables, hot = _prepared(spark, folder)
-    return plain_times(rounded(merge.merge_back(tables, hot), [*_ROUTE_MEANS, "avg_no_of_vehicles"]))
+    tables = _prepared(spark, folder)
+    return plain_times(rounded(merge.merge_back(tables), [*_ROUTE_MEANS, "avg_no_of_vehicles"]))
 
 
 @register("vehicle_driver", with_views(MERGE_VIEWS, MERGE_STEPS + """
@@ -110,8 +125,8 @@ SELECT s.*, t.* EXCLUDE (truck_id), d.* FROM s
 LEFT JOIN trucks t ON s.truck_id IS NOT DISTINCT FROM t.truck_id
 LEFT JOIN drivers d ON s.truck_id IS NOT DISTINCT FROM d.vehicle_no"""))
 def vehicle_driver(spark: SparkSession, folder: str) -> DataFrame:
-    tables, hot = _prepared(spark, folder)
-    return plain_times(merge.add_vehicle_and_driver(tables["truck_schedule_table"], tables, hot))
+    tables = _prepared(spark, folder)
+    return plain_times(merge.add_vehicle_and_driver(tables["truck_schedule_table"], tables))
 
 
 _WIDE_SQL = MERGE_STEPS + f""",

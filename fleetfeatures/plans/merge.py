@@ -20,17 +20,23 @@ from fleetfeatures.constants import (
     WIDE_RENAMES,
 )
 from fleetfeatures.functions.timegrid import (
+    HOUR_MICROS,
+    SIX_HOUR_MICROS,
     as_utc,
+    ceil_six_hours,
     crosses_midnight,
+    floor_six_hours,
     parse_timestamp,
     round_hour,
     timestamp_literal,
 )
 from fleetfeatures.operators.aggregates import (
     route_weather_means,
+    route_weather_means_over_spans,
     traffic_by_hour,
     traffic_means,
     traffic_means_from_sums,
+    traffic_means_over_spans,
 )
 from fleetfeatures.operators.cleaning import keep_first_by_table
 from fleetfeatures.operators.columns import (
@@ -42,6 +48,7 @@ from fleetfeatures.operators.columns import (
 )
 from fleetfeatures.operators.joins import HOT_MIN_ROWS, hot_key_sets, join_on
 from fleetfeatures.operators.numbering import number_rows
+from fleetfeatures.operators.ranges import slot_number
 from fleetfeatures.operators.slots import hourly_slots, six_hour_slots
 
 Tables = Mapping[str, DataFrame]
@@ -137,9 +144,17 @@ def route_weather_per_pair(tables: Tables, hot: HotKeys = HotKeys()) -> DataFram
     return route_weather_means(join_route_weather(slots, tables["routes_weather"], hot.route_slot))
 
 
-def trips_with_route_weather(tables: Tables, hot: HotKeys = HotKeys()) -> DataFrame:
+def route_weather_per_pair_by_range(tables: Tables) -> DataFrame:
+    """G1, J1, A1 by running totals: two lookups a trip in place of a row per slot; the same rows as :func:`route_weather_per_pair`."""
+    first, last = floor_six_hours("departure_date"), ceil_six_hours("estimated_arrival")
+    return route_weather_means_over_spans(tables["truck_schedule_table"], tables["routes_weather"], slot_number(first, SIX_HOUR_MICROS),
+                                          slot_number(last, SIX_HOUR_MICROS), SIX_HOUR_MICROS)
+
+
+def trips_with_route_weather(tables: Tables, hot: HotKeys = HotKeys(), *, by_range: bool = False) -> DataFrame:
     """Trips with the mean weather of their truck-route pair."""
-    return join_on(tables["truck_schedule_table"], route_weather_per_pair(tables, hot), PAIR_KEYS, hot=hot.pair)
+    per_pair = route_weather_per_pair_by_range(tables) if by_range else route_weather_per_pair(tables, hot)
+    return join_on(tables["truck_schedule_table"], per_pair, PAIR_KEYS, hot=hot.pair)
 
 
 # --- weather at both ends -------------------------------------------------
@@ -185,10 +200,17 @@ def traffic_per_pair_by_rows(tables: Tables, hot: HotKeys = HotKeys()) -> DataFr
     return traffic_means(join_traffic(hours, tables["traffic_table"], hot.route_hour))
 
 
-def trips_with_traffic(tables: Tables, hot: HotKeys = HotKeys(), trips: DataFrame | None = None) -> DataFrame:
+def traffic_per_pair_by_range(tables: Tables) -> DataFrame:
+    """G2, J6, A2 by running totals: two lookups a trip in place of a row per hour; the same rows as :func:`traffic_per_pair`."""
+    first, last = (slot_number(round_hour(c), HOUR_MICROS) for c in ("departure_date", "estimated_arrival"))
+    return traffic_means_over_spans(tables["truck_schedule_table"], tables["traffic_table"], first, last, HOUR_MICROS)
+
+
+def trips_with_traffic(tables: Tables, hot: HotKeys = HotKeys(), trips: DataFrame | None = None, *, by_range: bool = False) -> DataFrame:
     """Trips with the mean traffic of their truck-route pair."""
     spine = tables["truck_schedule_table"] if trips is None else trips
-    return join_on(spine, traffic_per_pair(tables, hot), PAIR_KEYS, hot=hot.pair)
+    per_pair = traffic_per_pair_by_range(tables) if by_range else traffic_per_pair(tables, hot)
+    return join_on(spine, per_pair, PAIR_KEYS, hot=hot.pair)
 
 
 # --- all of it ------------------------------------------------------------
@@ -233,9 +255,12 @@ def wide_trips(tables: Tables, order_by: Mapping[str, Sequence[str]] | Sequence[
     unique on its keys after :func:`prepare_tables`, and each joined table adds
     its own key to the row. ``unique_id`` numbers the rows before those with
     nulls go, along a total order of the row keys.
+
+    Keys with very many trips are split by adaptive execution, which goes by the
+    sizes that a join's input really has; the plan is the same at every size.
+    ``hot`` (:func:`hot_trip_keys`) salts them beforehand, for sessions without it.
     """
-    rows = tables["truck_schedule_table"].count()
-    hot = hot_trip_keys(tables, rows=rows) if hot is None else hot
+    hot = HotKeys() if hot is None else hot
     prepared = prepare_tables(tables, order_by)
     wide = add_vehicle_and_driver(trips_on_one_spine(prepared, hot), prepared, hot)
     wide = finish_columns(wide.withColumn("is_midnight", crosses_midnight("departure_date", "estimated_arrival")))
