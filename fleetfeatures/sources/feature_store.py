@@ -11,6 +11,7 @@ stay for readers until :func:`vacuum_feature_table`.
 from __future__ import annotations
 
 import logging
+import re
 import uuid
 from collections.abc import Mapping, Sequence
 
@@ -58,6 +59,18 @@ def upsert(old: DataFrame, new: DataFrame, keys: Sequence[str], event_time: str,
 
 #: From narrow to wide; a value of an earlier kind has a place in every later one.
 _NUMBERS = ["tinyint", "smallint", "int", "bigint", "float", "double"]
+#: Whole digits a type of whole numbers can hold.
+_DIGITS = {"tinyint": 3, "smallint": 5, "int": 10, "bigint": 19}
+#: Doubles hold every whole number up to here.
+_EXACT_DOUBLE = 2 ** 53
+
+
+def _decimal(kind: str) -> tuple[int, int] | None:
+    """Whole and fractional digits of a decimal or whole-number type."""
+    if kind in _DIGITS:
+        return _DIGITS[kind], 0
+    found = re.fullmatch(r"decimal\((\d+),(\d+)\)", kind)
+    return (int(found[1]) - int(found[2]), int(found[2])) if found else None
 
 
 def common_type(name: str, old: str, new: str) -> str:
@@ -68,25 +81,39 @@ def common_type(name: str, old: str, new: str) -> str:
         wide = max(old, new, key=_NUMBERS.index)
         # 32-bit floats lose digits of whole numbers
         return "double" if wide == "float" and min(old, new, key=_NUMBERS.index) in ("int", "bigint") else wide
+    if "decimal" in old + new and (a := _decimal(old)) and (b := _decimal(new)):
+        whole, part = max(a[0], b[0]), max(a[1], b[1])
+        if whole + part <= 38:
+            return f"decimal({whole + part},{part})"
     if {old, new} in ({"date", "timestamp"}, {"date", "timestamp_ntz"}):
         return max(old, new)
     raise ValueError(f"column {name} is {old} in the table and {new} in the batch")
 
 
 def reconcile(old: DataFrame, new: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Both frames with the common type in every column they share."""
+    """Both frames with the common type in every column they share.
+
+    64-bit whole numbers become doubles only if no digit of theirs is lost; that takes a look at these columns.
+    """
     before, after = dict(old.dtypes), dict(new.dtypes)
     types = {c: common_type(c, before[c], after[c]) for c in before if c in after}
+    for df, kinds in ((old, before), (new, after)):
+        risky = [c for c, t in types.items() if kinds[c] == "bigint" and t == "double"]
+        if risky:
+            row = df.agg(*[F.max((F.col(c) > _EXACT_DOUBLE) | (F.col(c) < -_EXACT_DOUBLE)).alias(c) for c in risky]).first()
+            if lost := [c for c in risky if row[c]]:
+                raise ValueError(f"columns {lost} hold whole numbers that doubles would round; cast them first")
     return tuple(df.withColumns({c: F.col(c).cast(t) for c, t in types.items() if dict(df.dtypes)[c] != t}) for df in (old, new))
 
 
 def write_feature_table(df: DataFrame, name: str, version: int, location: str, *, primary_key: Sequence[str],
-                        event_time: str, description: str = "", comments: Mapping[str, str] | None = None,
+                        event_time: str, description: str | None = None, comments: Mapping[str, str] | None = None,
                         keys_unique: bool = False, database: str = "default") -> str:
     """Create the table below ``location``, or upsert into it if it exists. Returns its catalog name.
 
     ``keys_unique`` says that ``df`` has one row per key (as after numbering);
     it is then written as it is partitioned and sorted, without a shuffle.
+    Without a description the table keeps the one it has.
     """
     spark = df.sparkSession
     table = table_of(name, version, database)
@@ -104,6 +131,8 @@ def write_feature_table(df: DataFrame, name: str, version: int, location: str, *
         return table
     texts = {f.name: f.metadata.get("comment", "") for f in spark.table(table).schema.fields} if exists else {}
     texts |= dict(comments or {})
+    if description is None:
+        description = (spark.catalog.getTable(table).description or "") if exists else ""
     columns = ", ".join(f"`{c}` {kind}" + (f" COMMENT '{_quoted(texts[c])}'" if texts.get(c) else "") for c, kind in rows.dtypes)
     # the rows of the table are in its folders, so a new definition over the new folder replaces the old one whole
     spark.sql(f"DROP TABLE IF EXISTS {table}")
