@@ -12,6 +12,7 @@ from fleetfeatures.plans.clean import clean_tables, store_clean_tables
 from fleetfeatures.schemas import column_comments
 from fleetfeatures.session import scratch_folder
 from fleetfeatures.sources import catalog, feature_store, files
+from fleetfeatures.sources.bucket_store import BucketTable
 
 
 def _new_database(spark: SparkSession) -> tuple[str, str]:
@@ -58,6 +59,59 @@ def csv_missing_words(spark: SparkSession, folder: str) -> DataFrame:
     return files.read_csv(spark, path)
 
 
+@register("csv_mixed_headers", """
+SELECT o_orderkey, o_custkey, o_totalprice, CASE WHEN o_orderkey % 3 <> 0 THEN o_orderpriority END AS o_orderpriority FROM orders""")
+def csv_mixed_headers(spark: SparkSession, folder: str) -> DataFrame:
+    """One dataset whose files have three headers: other orders of the columns, one without a column, one with a further one."""
+    orders, path = table(spark, folder, "orders"), f"{scratch_folder(spark)}/orders.csv"
+    parts = [["o_orderkey", "o_custkey", "o_totalprice"], ["O_TotalPrice", "o_orderpriority", "o_orderkey", "o_custkey"],
+             ["o_orderpriority", "o_orderstatus", "o_custkey", "o_orderkey", "o_totalprice"]]
+    for k, columns in enumerate(parts):
+        orders.where(f"o_orderkey % 3 = {k}").select(*columns).write.mode("append").option("header", True).csv(path)
+    return files.read_csv(spark, path, orders.select("o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority").schema)
+
+
+@register("csv_quoted", """
+SELECT o_orderkey, CASE o_orderkey % 4 WHEN 0 THEN 'say "' || o_orderpriority || '", you' WHEN 1 THEN 'two' || chr(10) || '"lines"' WHEN 2 THEN 'back\\slash, '
+       ELSE o_orderpriority END AS note, o_totalprice FROM orders""")
+def csv_quoted(spark: SparkSession, folder: str) -> DataFrame:
+    """Values with quotes, commas, line ends and backslashes, quotes doubled as in most programs."""
+    orders, path = table(spark, folder, "orders"), f"{scratch_folder(spark)}/notes.csv"
+    kind = F.col("o_orderkey") % 4
+    note = (F.when(kind == 0, F.concat(F.lit('say "'), "o_orderpriority", F.lit('", you'))).when(kind == 1, F.lit('two\n"lines"'))
+            .when(kind == 2, F.lit("back\\slash, ")).otherwise(F.col("o_orderpriority")))
+    notes = orders.select("o_orderkey", note.alias("note"), "o_totalprice")
+    for lines, rows in (("with", notes.where(kind == 1)), ("without", notes.where(kind != 1))):
+        rows.write.mode("append").options(header=True, escape='"', ignoreTrailingWhiteSpace=False, quoteAll=lines == "with").csv(path)
+    return files.read_csv(spark, path, notes.schema)
+
+
+@register("csv_whole_doubles", """
+SELECT l_orderkey, l_linenumber, CASE WHEN l_linenumber % 2 = 0 THEN l_partkey END AS l_partkey FROM lineitem""")
+def csv_whole_doubles(spark: SparkSession, folder: str) -> DataFrame:
+    """Whole numbers written as doubles, as programs do that have no missing whole numbers."""
+    lines, path = table(spark, folder, "lineitem"), f"{scratch_folder(spark)}/lines.csv"
+    chosen = lines.select("l_orderkey", "l_linenumber", F.when(F.col("l_linenumber") % 2 == 0, F.col("l_partkey")).alias("l_partkey"))
+    number = F.col("l_partkey").cast("double")
+    short = F.format_string("%.3e", number)
+    text = F.when(number.isNotNull() & (F.col("l_orderkey") % 2 == 1) & (short.try_cast("double") == number), short).otherwise(number.cast("string"))
+    chosen.select(F.concat(F.col("l_orderkey").cast("string"), F.lit(".0")).alias("l_orderkey"), "l_linenumber",
+                  F.coalesce(text, F.lit("nan")).alias("l_partkey")).write.option("header", True).csv(path)
+    return files.read_csv(spark, path, chosen.schema)
+
+
+@register("csv_unreadable", """
+SELECT 'o_orderkey' AS "column", count(*) AS n_values, 0::BIGINT AS n_unreadable FROM orders
+UNION ALL SELECT 'o_orderpriority', count(*), count(*) FROM orders
+UNION ALL SELECT 'o_totalprice', count(*), count(*) FILTER (o_totalprice <> floor(o_totalprice)) FROM orders""")
+def csv_unreadable(spark: SparkSession, folder: str) -> DataFrame:
+    """How many values a schema of whole numbers cannot hold."""
+    orders, path = table(spark, folder, "orders"), f"{scratch_folder(spark)}/orders.csv"
+    files.write_csv(orders, path)
+    kinds = "o_orderkey long, o_orderpriority int, o_totalprice long"
+    return files.unreadable(spark, path, spark.createDataFrame([], kinds).schema)
+
+
 @register("csv_landed", """
 SELECT 'orders' AS table_name, o_orderkey AS row_key, o_totalprice AS amount FROM orders
 UNION ALL SELECT 'supplier', s_suppkey, s_acctbal FROM supplier""")
@@ -154,17 +208,53 @@ def upsert_latest(spark: SparkSession, folder: str) -> DataFrame:
     database, path = _new_database(spark)
     options = {"primary_key": ["s_suppkey"], "event_time": "eventtime", "database": database}
     supplier, customer = table(spark, folder, "supplier"), table(spark, folder, "customer")
-    stamp = feature_store.stamp_event_time
-    feature_store.write_feature_table(stamp(supplier, value="2024-01-01 00:00:00"), "supplier", 1, path, **options)
-    high = F.col("s_acctbal") > 5000
+    feature_store.write_feature_table(feature_store.stamp_event_time(supplier, value="2024-01-01 00:00:00"), "supplier", 1, path, **options)
+    batch = _supplier_batch(supplier, customer)
+    name = feature_store.write_feature_table(batch, "supplier", 1, path, **options)
+    return plain_times(spark.table(name))
+
+
+def _supplier_batch(supplier: DataFrame, customer: DataFrame) -> DataFrame:
+    """Later and earlier rows of known keys, and new keys."""
+    stamp, high = feature_store.stamp_event_time, F.col("s_acctbal") > 5000
     late = supplier.where(high).withColumns({"s_name": F.concat("s_name", F.lit(" late")), "s_acctbal": F.col("s_acctbal") + 1})
     early = supplier.where(~high).withColumns({"s_name": F.concat("s_name", F.lit(" early")), "s_acctbal": F.col("s_acctbal") - 1})
     fresh = customer.select((F.col("c_custkey") + 1000000).alias("s_suppkey"), F.col("c_name").alias("s_name"),
                             F.col("c_nationkey").alias("s_nationkey"), F.col("c_acctbal").alias("s_acctbal"))
-    batch = (stamp(late, value="2024-02-01 00:00:00").unionByName(stamp(early, value="2023-12-01 00:00:00"))
-             .unionByName(stamp(fresh, value="2024-02-01 00:00:00")))
-    name = feature_store.write_feature_table(batch, "supplier", 1, path, **options)
-    return plain_times(spark.table(name))
+    return (stamp(late, value="2024-02-01 00:00:00").unionByName(stamp(early, value="2023-12-01 00:00:00"))
+            .unionByName(stamp(fresh, value="2024-02-01 00:00:00")))
+
+
+@register("upsert_buckets", f"""
+SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY s_suppkey ORDER BY eventtime DESC) AS rn
+FROM ({_BATCH})) WHERE rn = 1""")
+def upsert_buckets(spark: SparkSession, folder: str) -> DataFrame:
+    """The upsert of :func:`upsert_latest` in a table of key buckets; the batch comes in two parts."""
+    store = BucketTable(spark, scratch_folder(spark), "supplier", 1)
+    supplier = table(spark, folder, "supplier")
+    store.write(feature_store.stamp_event_time(supplier, value="2024-01-01 00:00:00"), primary_key=["s_suppkey"], event_time="eventtime", buckets=16)
+    batch = _supplier_batch(supplier, table(spark, folder, "customer"))
+    store.write(batch.where("s_suppkey >= 1000000"))
+    store.write(batch.where("s_suppkey < 1000000"))
+    store.vacuum(older_than=0.0)
+    return plain_times(store.read())
+
+
+@register("bucket_snapshots", """
+SELECT 0 AS snapshot, o_orderpriority, count(*) AS n_rows, min(o_orderkey) AS first_key FROM orders WHERE o_orderkey % 3 <> 0 GROUP BY ALL
+UNION ALL SELECT 1, CASE WHEN o_orderkey % 5 = 0 THEN 'changed' ELSE o_orderpriority END, count(*), min(o_orderkey) FROM orders
+          WHERE o_orderkey % 3 <> 0 OR o_orderkey % 5 = 0 GROUP BY ALL""")
+def bucket_snapshots(spark: SparkSession, folder: str) -> DataFrame:
+    """Readers of an older snapshot keep its rows after an upsert that changes, adds and leaves rows."""
+    store = BucketTable(spark, scratch_folder(spark), "orders", 1)
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_orderpriority")
+    stamp = feature_store.stamp_event_time
+    store.write(stamp(orders.where("o_orderkey % 3 <> 0"), value="2024-01-01 00:00:00"), primary_key=["o_orderkey"], event_time="eventtime", buckets=8)
+    changed = orders.where("o_orderkey % 5 = 0").withColumn("o_orderpriority", F.lit("changed"))
+    store.write(stamp(changed, value="2024-02-01 00:00:00"))
+    parts = [store.read(n).groupBy("o_orderpriority").agg(F.count("*").alias("n_rows"), F.min("o_orderkey").alias("first_key")).select(
+        F.lit(n).alias("snapshot"), "*") for n in (0, 1)]
+    return parts[0].unionByName(parts[1])
 
 
 @register("upsert_new_column", """
