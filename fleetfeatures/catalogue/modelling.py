@@ -11,7 +11,7 @@ from fleetfeatures.catalogue.shaping import plain_times, rounded, sql_rounded
 from fleetfeatures.catalogue.sqltext import MERGE_VIEWS
 from fleetfeatures.catalogue.views import ORDER, table, trip_tables, with_views
 from fleetfeatures.constants import TARGET
-from fleetfeatures.operators import features, metrics, models
+from fleetfeatures.operators import features, metrics, models, sparse
 from fleetfeatures.plans import merge, score, train
 from fleetfeatures.session import cut_lineage, scratch_folder
 
@@ -70,6 +70,19 @@ def one_hot(spark: SparkSession, folder: str) -> DataFrame:
     return features.apply_one_hot(customer, features.fit_one_hot(customer, ["c_mktsegment"]))
 
 
+@register("one_hot_wide", """
+WITH t AS (SELECT DISTINCT l_orderkey::VARCHAR AS v FROM lineitem WHERE l_linenumber <= 3), k AS (SELECT v, row_number() OVER (ORDER BY v) - 1 AS p FROM t),
+m AS (SELECT DISTINCT l_linenumber::VARCHAR AS v FROM lineitem WHERE l_linenumber <= 3),
+q AS (SELECT v, (SELECT count(*) FROM k) + row_number() OVER (ORDER BY v) - 1 AS p FROM m)
+SELECT l_orderkey, l_linenumber, k.p AS l_orderkey_position, q.p AS l_linenumber_position, (SELECT count(*) FROM k) + (SELECT count(*) FROM q) AS n_categories
+FROM lineitem LEFT JOIN k ON k.v = l_orderkey::VARCHAR LEFT JOIN q ON q.v = l_linenumber::VARCHAR""")
+def one_hot_wide(spark: SparkSession, folder: str) -> DataFrame:
+    """A column with more categories than fit in columns (one per order), and lines that training did not see."""
+    lines, encoded = table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber"), ["l_orderkey", "l_linenumber"]
+    categories = sparse.fit_categories(lines.where("l_linenumber <= 3"), encoded, scratch_folder(spark))
+    return sparse.add_positions(lines, categories, encoded).withColumn("n_categories", F.lit(sum(sparse.sizes(categories, encoded))).cast("long"))
+
+
 @register("one_hot_unseen", """
 SELECT event_id, """ + ", ".join(
     f"""CASE WHEN event_type = '{s}' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS event_type_{s}""" for s in ("click", "view"))
