@@ -161,3 +161,63 @@ SELECT rowindex, truck_id, truck_age, fuel_type, {sql_rounded('mileage_mpg', 'mi
 def cleaned_trucks(spark: SparkSession, folder: str) -> DataFrame:
     cleaned = clean.clean_tables({"trucks_table": view(spark, folder, "trucks")}, {"trucks_table": ["truck_id"]})
     return rounded(cleaned["trucks_table"], ["mileage_mpg", "load_capacity_pounds"])
+
+
+@register("cleaned_drivers", with_views("drivers", f""",
+f AS (SELECT row_number() OVER (ORDER BY driver_id) AS rowindex, * EXCLUDE (experience),
+             CASE WHEN experience < 0 THEN (SELECT avg(experience) FROM drivers WHERE experience >= 0) ELSE experience END AS experience FROM drivers),
+{_sql_outliers('f', ['experience', 'age', 'ratings', 'average_speed_mph'])}
+SELECT * EXCLUDE (experience), {sql_rounded('experience', 'experience')} FROM o3"""))
+def cleaned_drivers(spark: SparkSession, folder: str) -> DataFrame:
+    cleaned = clean.clean_tables({"drivers_table": view(spark, folder, "drivers")}, {"drivers_table": ["driver_id"]})
+    return rounded(cleaned["drivers_table"], ["experience"])
+
+
+@register("cleaned_routes", with_views("routes", f""",
+f AS (SELECT row_number() OVER (ORDER BY id) AS rowindex, * FROM routes),
+{_sql_outliers('f', ['average_hours', 'distance'])}
+SELECT * FROM o1"""))
+def cleaned_routes(spark: SparkSession, folder: str) -> DataFrame:
+    return clean.clean_tables({"routes_table": view(spark, folder, "routes")}, {"routes_table": ["id"]})["routes_table"]
+
+
+@register("cleaned_schedule", with_views("sched", """
+SELECT row_number() OVER (ORDER BY rowindex) AS rowindex, truck_id, route_id, departure_date, delay,
+       CASE WHEN rowindex % 9 <> 0 THEN date_trunc('hour', estimated_arrival + INTERVAL '25' MINUTE) END AS estimated_arrival FROM sched"""))
+def cleaned_schedule(spark: SparkSession, folder: str) -> DataFrame:
+    """Arrivals come as text, some of it unreadable."""
+    text = F.date_format(F.col("estimated_arrival") + F.expr("INTERVAL '25' MINUTE"), "yyyy-MM-dd HH:mm:ss")
+    trips = view(spark, folder, "sched").withColumn("estimated_arrival", F.when(F.col("rowindex") % 9 == 0, "no time").otherwise(text))
+    cleaned = clean.clean_tables({"truck_schedule_table": trips}, {"truck_schedule_table": ["rowindex"]})
+    return plain_times(cleaned["truck_schedule_table"])
+
+
+@register("cleaned_routes_weather", with_views("routew", f""",
+f AS (SELECT * REPLACE (row_number() OVER (ORDER BY rowindex) AS rowindex) FROM routew),
+{_sql_outliers('f', ['temp', 'wind_speed', 'humidity', 'pressure'])}
+SELECT * EXCLUDE (date), date AS "Date" FROM o3"""))
+def cleaned_routes_weather(spark: SparkSession, folder: str) -> DataFrame:
+    """Times come as text."""
+    weather = view(spark, folder, "routew").withColumn("date", F.date_format("date", "yyyy-MM-dd HH:mm:ss"))
+    return plain_times(clean.clean_tables({"routes_weather": weather}, {"routes_weather": ["rowindex"]})["routes_weather"])
+
+
+@register("cleaned_city_weather", with_views("cityw", f""",
+f AS (SELECT * EXCLUDE (rowindex, temp, date), row_number() OVER (ORDER BY rowindex) AS rowindex, CASE WHEN hour(date) <> 13 THEN date END AS date,
+             coalesce(CASE WHEN rowindex % 6 <> 0 THEN temp END, (SELECT avg(temp) FROM cityw WHERE rowindex % 6 <> 0)) AS temp FROM cityw),
+{_sql_outliers('f', ['temp', 'wind_speed', 'humidity', 'pressure'])}
+SELECT * EXCLUDE (temp), {sql_rounded('temp', 'temp')} FROM o3"""))
+def cleaned_city_weather(spark: SparkSession, folder: str) -> DataFrame:
+    """Day and military hour come apart, one hour of the day is no clock time, some temperatures are missing."""
+    hour = F.hour("date")
+    weather = view(spark, folder, "cityw").withColumns({
+        "hour": F.when(hour == 13, 1375).otherwise(hour * 100), "date": F.to_date("date").cast("string"), "temp": F.when(F.col("rowindex") % 6 != 0, F.col("temp"))})
+    cleaned = clean.clean_tables({"city_weather": weather}, {"city_weather": ["rowindex"]})
+    return plain_times(rounded(cleaned["city_weather"], ["temp"]))
+
+
+@register("fill_empty", _HOLES)
+def fill_empty(spark: SparkSession, folder: str) -> DataFrame:
+    """A table without rows has nothing to fill with and passes as it is, types included: it can be put to the other rows."""
+    holes = _holes(spark, folder)
+    return cleaning.fill_missing(holes.where("event_id < 0")).unionAll(holes)

@@ -47,7 +47,8 @@ def test_traffic_slots_carry_only_keys(spark, sf):
 
 
 @pytest.mark.parametrize("name", ["route_weather", "traffic_on_route", "city_weather_both", "vehicle_driver",
-                                  "merge_back", "dup_rows", "class_report", "upsert_latest", "histogram20"])
+                                  "merge_back", "dup_rows", "class_report", "upsert_latest", "histogram20", "wide_trips", "slot_traffic",
+                                  "iqr_outliers", "upsert_buckets", "one_hot_wide", "csv_mixed_headers", "stratified_folds"])
 def test_no_python_rows_and_no_all_pairs_join(spark, sf, name):
     plan = plan_of(catalogue.QUERIES[name](spark, sf), "simple")
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "EvalPython", "InPandas", "InArrow"):
@@ -60,3 +61,8 @@ def test_the_schedule_is_deduplicated_once(spark, sf):
     spine.collect()
     final = plan_of(spine).split("Initial Plan")[0]
     assert "ReusedExchange" in final
+
+
+def test_distinct_counts_repeat_no_rows(spark, sf):
+    plan = plan_of(catalogue.QUERIES["distinct_counts"](spark, sf), "simple")
+    assert "Expand" not in plan and "Generate" not in plan
