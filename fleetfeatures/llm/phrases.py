@@ -135,16 +135,21 @@ def _frequent_hashes(docs: DataFrame, least: int) -> DataFrame:
 
 
 def _sequences(docs: DataFrame, field, log_bits: int) -> DataFrame:
-    """(lang, words, n): the sequences that pairs in the field leave, equal ones of a task counted together."""
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, Counter[bytes]] = {}
-
-        def handed_on() -> Iterator[pa.RecordBatch]:
-            for lang, found in held.items():
-                yield pa.RecordBatch.from_pydict({"lang": pa.array([lang] * len(found), pa.string()), "words": pa.array(list(found), pa.binary()).cast(pa.string()),
-                                                  "n": pa.array(list(found.values()), pa.int64())})
-            held.clear()
+    """(lang, words, n): the sequences that pairs in the field leave.
+
+    Sequences of one or two words are frequent words and pairs: equal ones of a task are counted together. Longer ones are
+    mostly different from each other, so holding them would only take memory: they are counted together for one block of
+    text and handed on.
+    """
+    def rows(found: dict[str, Counter[bytes]]) -> Iterator[pa.RecordBatch]:
+        for lang, counts in found.items():
+            yield pa.RecordBatch.from_pydict({"lang": pa.array([lang] * len(counts), pa.string()), "words": pa.array(list(counts), pa.binary()).cast(pa.string()),
+                                              "n": pa.array(list(counts.values()), pa.int64())})
+        found.clear()
 
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        short: dict[str, Counter[bytes]] = {}
+        long: dict[str, Counter[bytes]] = {}
         for batch in batches:
             for langs, words in _read(batch):
                 if not len(words.starts):
@@ -153,16 +158,20 @@ def _sequences(docs: DataFrame, field, log_bits: int) -> DataFrame:
                 linked[words.follows] = among(field.value, words.pairs, log_bits)
                 first = np.flatnonzero(np.concatenate(([True], ~linked)))
                 last = np.flatnonzero(np.concatenate((~linked, [True])))
-                wanted = (last > first) | among(field.value, words.hashes[first], log_bits)
-                first, last = first[wanted], last[wanted]
-                clean, owners = words.clean, words.text[first]
-                found = [clean[a:b] for a, b in zip(words.first[first].tolist(), words.last[last].tolist())]
-                bounds = np.searchsorted(owners, np.arange(len(langs) + 1)).tolist()
-                for i, lang in enumerate(langs):
-                    held.setdefault(lang, Counter()).update(found[bounds[i]:bounds[i + 1]])
-                if sum(map(len, held.values())) >= HELD_SEQUENCES:
-                    yield from handed_on()
-        yield from handed_on()
+                size = last - first + 1
+                frequent = (size > 1) | among(field.value, words.hashes[first], log_bits)
+                for some, wanted in ((short, frequent & (size < 3)), (long, size > 2)):
+                    begin, end = first[wanted], last[wanted]
+                    clean = words.clean
+                    found = [clean[a:b] for a, b in zip(words.first[begin].tolist(), words.last[end].tolist())]
+                    bounds = np.searchsorted(words.text[begin], np.arange(len(langs) + 1)).tolist()
+                    for i, lang in enumerate(langs):
+                        if bounds[i] < bounds[i + 1]:
+                            some.setdefault(lang, Counter()).update(found[bounds[i]:bounds[i + 1]])
+                yield from rows(long)
+                if sum(map(len, short.values())) >= HELD_SEQUENCES:
+                    yield from rows(short)
+        yield from rows(short)
 
     return docs.mapInArrow(cut, "lang string, words string, n long")
 
