@@ -85,7 +85,8 @@ def test_sql_forms_on_odd_rows(spark, docs, tmp_path):
     for name in ("documents", "labels", "embeddings", "conversations"):
         {"documents": docs,
          "labels": spark.createDataFrame([(1, 1, 0), (1, 0, 0), (3, 0, 0), (None, 1, 1)], "doc_id long, quality int, toxic int"),
-         "embeddings": _vectors(spark), "conversations": _turns(spark)}[name].coalesce(1).write.parquet(str(tmp_path / f"_{name}"))
+         "embeddings": _vectors(spark).withColumn("label", F.when(F.col("vec_id").isNull() | (F.col("vec_id") % 9 != 4), F.coalesce(F.col("vec_id") % 3, F.lit(1)).cast("int"))),
+         "conversations": _turns(spark)}[name].coalesce(1).write.parquet(str(tmp_path / f"_{name}"))
         next((tmp_path / f"_{name}").glob("*.parquet")).rename(tmp_path / f"{name}.parquet")
     for other in ("region nation customer supplier part orders lineitem events pages benchmark").split():
         (tmp_path / f"{other}.parquet").symlink_to(f"/root/testdata/sf0.001/{other}.parquet")
