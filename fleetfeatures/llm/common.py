@@ -5,6 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,6 +16,8 @@ from fleetfeatures.session import shared_folder
 
 #: A word is a run of characters that are neither a blank nor one of tab, line feed, vertical tab, form feed, return.
 WORD = r"[^\x20\x09-\x0D]+"
+#: Spark's setting that removes shuffle files at the end of an execution.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _BLANKS = "\t\n\x0b\x0c\r"
 
 DOCUMENT = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -44,11 +48,32 @@ def ship(spark: SparkSession) -> None:
     context._llm_shipped = True
 
 
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Executions inside drop their shuffle files when they end, not when the driver next collects garbage."""
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
+
+
 def written(df: DataFrame, path: str | None = None) -> DataFrame:
-    """The frame, written to the shared folder and read back: lost executors cannot change it, readers take only the columns they use."""
-    path = path or shared_path(df.sparkSession)
-    df.write.mode("errorifexists").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """The frame, written to the shared folder and read back: lost executors cannot change it, readers take only the columns they
+    use. What was shuffled for it is removed; the table itself stays until ``discard``."""
+    spark, path = df.sparkSession, path or shared_path(df.sparkSession)
+    with shuffles_removed(spark):
+        df.write.mode("errorifexists").parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table._scratch = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables of ``written`` whose last reader has been written itself."""
+    for t in tables:
+        remove(t.sparkSession, t._scratch)
 
 
 def numbered(df: DataFrame) -> DataFrame:

@@ -27,13 +27,14 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetfeatures.llm.common import numbered, remove, shared_path, ship, written
+from fleetfeatures.llm.common import discard, numbered, remove, shared_path, ship, shuffles_removed, written
 from fleetfeatures.llm.hashing import U, groups, inverse_powers, mix, powers
 
 LENGTH = 200
@@ -134,7 +135,8 @@ class SuffixLevels:
 
     def _write(self, rows: DataFrame) -> str:
         path = shared_path(self.spark)
-        rows.repartition("key").sortWithinPartitions("key").write.parquet(path)
+        with shuffles_removed(self.spark):
+            rows.repartition("key").sortWithinPartitions("key").write.parquet(path)
         return path
 
     def _read(self, path: str) -> DataFrame:
@@ -173,13 +175,14 @@ class SuffixLevels:
 
 def repeated_suffixes(bodies: DataFrame, batches: int = BATCHES) -> DataFrame:
     """The suffixes whose key another suffix has too, of any batch."""
-    index, keys = SuffixLevels(bodies.sparkSession), None
-    for k in range(batches):
-        found = written(index.append(suffixes(bodies.filter(F.pmod(F.xxhash64("row"), F.lit(batches)) == k))))
-        keys = found if keys is None else keys.unionAll(found)
+    index = SuffixLevels(bodies.sparkSession)
+    found = [written(index.append(suffixes(bodies.filter(F.pmod(F.xxhash64("row"), F.lit(batches)) == k)))) for k in range(batches)]
     # written first: a join on what was summed by the same key could not be split where a key is common
-    rows = written(index.rows().join(written(keys.distinct()), "key"))
+    keys = written(reduce(DataFrame.unionAll, found).distinct())
+    discard(*found)
+    rows = written(index.rows().join(keys, "key"))
     index.drop()
+    discard(keys)
     return rows
 
 
@@ -307,28 +310,39 @@ def settle_apart(found: DataFrame) -> DataFrame:
         counts = rows.groupBy(*by).agg(F.count("*").alias("n"), F.max("single").alias("any_single")).filter("n > 1 AND any_single")
         return rows.join(counts.select(*by), by, "left_semi")
 
-    parts = repeated(written(found.mapInPandas(strings(False), kind)))
-    runs = parts.groupBy("row", "place").agg(F.sum(F.expr("shiftleft(1, at)")).cast("int").alias("runs"))
+    parts = written(found.mapInPandas(strings(False), kind))
+    runs = written(repeated(parts).groupBy("row", "place").agg(F.sum(F.expr("shiftleft(1, at)")).cast("int").alias("runs")))
+    discard(parts)
     grams = written(found.join(runs, ["row", "place"]).mapInPandas(strings(True), kind))
+    discard(runs)
     start = F.shiftright("place", 16) - F.col("at")
-    return repeated(grams).filter("single").select("row", start.alias("first"), start.alias("last"))
+    settled = written(repeated(grams).filter("single").select("row", start.alias("first"), start.alias("last")))
+    discard(grams)
+    return settled
 
 
 def repeated_runs(bodies: DataFrame, batches: int = BATCHES) -> DataFrame:
-    """(row, first, last): runs of places of ``bodies`` (row, body) where a long string starts that also starts elsewhere."""
+    """(row, first, last): runs of places of ``bodies`` (row, body) where a long string starts that also starts elsewhere.
+
+    Scratch tables go as soon as what reads them is written, so that a text is on disk once besides one shuffle of it.
+    """
     rows = repeated_suffixes(bodies, batches)
     alike = rows.groupBy("key", "ctx").agg(F.count("*").alias("n"), F.min(F.struct("row", "place")).alias("one"))
     alike = written(alike.select("key", "ctx", "n", "one.row", "one.place"))
     copies = rows.join(alike.filter("n > 1").select("key", "ctx"), ["key", "ctx"], "left_semi")
     high, low = F.col("place").bitwiseAND(255), F.shiftright("place", 8).bitwiseAND(255)
     p = F.shiftright("place", 16)
-    settled = copies.select("row", (p - high).alias("first"), (p - low).alias("last"))
+    settled = written(copies.select("row", (p - high).alias("first"), (p - low).alias("last")))
     many = alike.groupBy("key").agg(F.count("*").alias("m"), F.min("n").alias("least")).filter("m > 1 AND least = 1")
     unlike = alike.join(many, "key").select("key", "row", "place", (F.col("n") == 1).alias("single"), "m")
     wanted = written(unlike.select("key", "row", "place", "single", "m"))
-    near = settle_together(contexts(bodies, wanted.filter(F.col("m") <= TOGETHER)))
+    discard(rows, alike)
+    near = written(settle_together(contexts(bodies, wanted.filter(F.col("m") <= TOGETHER))))
     wide = written(contexts(bodies, wanted.filter(F.col("m") > TOGETHER)))
-    return settled.unionAll(near).unionAll(settle_apart(wide))
+    discard(wanted)
+    apart = settle_apart(wide)
+    discard(wide)
+    return settled.unionAll(near).unionAll(apart)
 
 
 REPORT = "doc_id string, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
@@ -354,7 +368,7 @@ def without_repeats(body: bytes, runs) -> tuple[bytes, int, int]:
 def repeat_report(docs: DataFrame, batches: int = BATCHES) -> DataFrame:
     """One row per document: bytes, bytes removed, runs removed, digest of what is left."""
     bodies = numbered(docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("body")))
-    runs = written(repeated_runs(bodies, batches)).groupBy("row").agg(F.collect_list(F.struct("first", "last")).alias("runs"))
+    runs = repeated_runs(bodies, batches).groupBy("row").agg(F.collect_list(F.struct("first", "last")).alias("runs"))
 
     def report(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
