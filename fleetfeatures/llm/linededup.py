@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fleetfeatures.llm.common import numbered, without_blanks, written
+from fleetfeatures.llm.common import discard, numbered, without_blanks, written
 
 EDITS = 1
 LEAST = 20
@@ -116,7 +116,7 @@ def near_lines(docs: DataFrame, firsts: DataFrame, edits: int = EDITS) -> DataFr
                         F.get(F.array(*[F.lit(e[1]) for e in entries]), F.col("kind")).alias("shorter"), part.alias("s"))
     rows = written(rows.select("s.key", "row", "j", "index", "shorter", "few", "s.open"))
     again = [(e, role) for role in [(True, 0), *[(False, d) for d in range(edits + 1)]] for e in _entries(edits, *role)]
-    done = None
+    done, rounds = None, [rows]
     while True:
         settled = F.col("few") | (F.length("open") - F.col("shorter") <= 2 * edits)
         ready = rows.filter(settled)
@@ -127,6 +127,7 @@ def near_lines(docs: DataFrame, firsts: DataFrame, edits: int = EDITS) -> DataFr
             for e, role in again])).alias("x")).filter(F.col("x.s").isNotNull())
         split = split.select("x.s.key", "row", "j", "x.index", "x.shorter", "x.s.open")
         rows = written(_meeting(split, edits).select("key", "row", "j", "index", "shorter", "few", "open"))
+        rounds.append(rows)
         if rows.isEmpty():
             break
     other = done.select("key", F.col("row").alias("o_row"), F.col("j").alias("o_j"), F.col("open").alias("o_open"))
@@ -139,7 +140,9 @@ def near_lines(docs: DataFrame, firsts: DataFrame, edits: int = EDITS) -> DataFr
     both = mine.join(theirs, ["o_row", "o_j"])
     later = F.when(F.col("a") > F.col("b"), F.struct(F.col("a").alias("p"), F.col("a_chars").alias("chars"))).otherwise(
         F.struct(F.col("b").alias("p"), F.col("b_chars").alias("chars")))
-    return written(both.select(later.alias("x")).select("x.p.row", "x.p.j", "x.chars").distinct())
+    near = written(both.select(later.alias("x")).select("x.p.row", "x.p.j", "x.chars").distinct())
+    discard(*rounds)
+    return near
 
 
 def line_report(docs: DataFrame, edits: int = EDITS) -> DataFrame:
