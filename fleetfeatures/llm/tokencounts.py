@@ -16,6 +16,7 @@ commit; only named columns are read.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from urllib.parse import quote, unquote
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -57,6 +58,15 @@ def _signed(counts: DataFrame, sign: int, tokens: str) -> DataFrame:
     return counts.select(*KEYS, F.lit(sign).cast("long").alias("n_docs"), (F.col(tokens) * sign).alias("n_tokens"))
 
 
+def _folder_of(batch_id: str) -> str:
+    """The folder of a batch: one name, whatever separators its id holds."""
+    return f"batch-{quote(batch_id, safe='')}"
+
+
+def _id_of(folder: str) -> str:
+    return unquote(folder.removeprefix("batch-"))
+
+
 class Rollup:
     """Totals in a folder that all executors share."""
 
@@ -76,7 +86,7 @@ class Rollup:
         if not folds:
             return done
         inside = self._ids_of(folds[-1])
-        return [folds[-1], *(n for n in done if not n.startswith("fold-") and n.removeprefix("batch-") not in inside)]
+        return [folds[-1], *(n for n in done if not n.startswith("fold-") and _id_of(n) not in inside)]
 
     def _ids_of(self, fold: str) -> set[str]:
         rows = self.spark.read.schema(TOTALS).parquet(f"{self.path}/{fold}").filter(F.col("batch_id").isNotNull())
@@ -85,14 +95,14 @@ class Rollup:
     def committed(self) -> set[str]:
         ids: set[str] = set()
         for name in self._folders():
-            ids |= self._ids_of(name) if name.startswith("fold-") else {name.removeprefix("batch-")}
+            ids |= self._ids_of(name) if name.startswith("fold-") else {_id_of(name)}
         return ids
 
     def commit(self, batch_id: str, signed: DataFrame) -> bool:
         """Add a batch; False if its id is there already (then nothing changes)."""
         if batch_id in self.committed():
             return False
-        self._sums(signed).coalesce(1).write.mode("overwrite").parquet(f"{self.path}/batch-{batch_id}")
+        self._sums(signed).coalesce(1).write.mode("overwrite").parquet(f"{self.path}/{_folder_of(batch_id)}")
         return True
 
     @staticmethod
@@ -120,7 +130,8 @@ class Rollup:
 
 def maintained_counts(docs: DataFrame, path: str, batches: int = 4,
                       file: str = "byte_bpe_50k.tiktoken", version: str = "byte_bpe_50k-1") -> DataFrame:
-    """Totals of a table that arrives in batches: words are counted on arrival, and revised to tokens later."""
+    """Totals of a table that arrives in batches: words are counted on arrival and revised to tokens later,
+    one batch is withdrawn and comes back."""
     spark = docs.sparkSession
     ship(spark)
     tokens = tokens_of(tokenizer_file(file))
@@ -134,5 +145,8 @@ def maintained_counts(docs: DataFrame, path: str, batches: int = 4,
         rollup.commit(f"arrival-{k}", _signed(counts.filter(F.col("batch") == k), 1, "words"))
     rollup.commit("tokens", revisions(counts, "words", "tokens"))
     rollup.commit("arrival-0", _signed(counts.filter("batch = 0"), 1, "words"))  # sent again: no effect
+    taken = counts.filter("batch = 1")
+    rollup.commit("withdrawn-1", deletes(taken))
+    rollup.commit("returned-1", inserts(taken))
     rollup.compact()
     return rollup.totals()
