@@ -13,6 +13,7 @@ from fleetfeatures.constants import DEFAULT_DATE
 from fleetfeatures.operators.joins import HOT_MIN_ROWS, hot_keys, join_on
 from fleetfeatures.operators.quantiles import exact_quantiles
 from fleetfeatures.operators.rows import first_per_key
+from fleetfeatures.session import cut_lineage
 
 _WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 _TIMES = (T.TimestampType, T.TimestampNTZType, T.DateType)
@@ -129,9 +130,33 @@ def remove_outliers_by_table(tables: Mapping[str, DataFrame],
     return result
 
 
+_DIGEST = ["__digest", "__digest2"]
+
+
+def _by_digest(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows with a 128-bit digest each, and the digests that occur more than once.
+
+    Only digests are shuffled to find those; where they are few, joining them
+    leaves the rows where they are, so that only rows of such groups move. The
+    frame is read twice, so it must give the same rows each time.
+    """
+    rows = df.withColumns({name: F.xxhash64(F.lit(i), *df.columns) for i, name in enumerate(_DIGEST)})
+    counts = rows.groupBy(*_DIGEST).agg(F.count("*").alias("n"))
+    return rows, cut_lineage(counts.filter("n > 1").select(*_DIGEST))
+
+
+def _has_maps(df: DataFrame) -> bool:
+    """Maps have no digest; frames with one are grouped by their whole rows."""
+    return any("map<" in kind for _, kind in df.dtypes)
+
+
 def duplicate_row_count(df: DataFrame) -> DataFrame:
-    """How many rows repeat an earlier row in full."""
-    groups = df.groupBy(*df.columns).agg(F.count("*").alias("n"))
+    """How many rows repeat an earlier row in full; rows of equal digest are compared in full."""
+    rows = df
+    if not _has_maps(df):
+        rows, repeated = _by_digest(df)
+        rows = rows.join(repeated, _DIGEST, "left_semi")
+    groups = rows.groupBy(*df.columns).agg(F.count("*").alias("n"))
     return groups.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("duplicates"))
 
 
@@ -179,5 +204,9 @@ def keep_first_by_table(tables: Mapping[str, DataFrame], keys: Mapping[str, Sequ
 
 
 def drop_duplicate_rows(df: DataFrame) -> DataFrame:
-    """One of each row."""
-    return df.distinct()
+    """One of each row; whole rows are compared where their digest occurs more than once."""
+    if _has_maps(df):
+        return df.distinct()
+    rows, repeated = _by_digest(df)
+    once = rows.join(repeated, _DIGEST, "left_anti").select(*df.columns)
+    return once.unionAll(rows.join(repeated, _DIGEST, "left_semi").select(*df.columns).distinct())

@@ -125,6 +125,26 @@ def test_duplicates(spark):
     assert cleaning.has_repeats(df.limit(0), "k").first()[0] is False
 
 
+def test_whole_rows_decide_where_digests_are_equal(spark, monkeypatch):
+    # a digest passes over nulls, so the first two rows have the same one; NaN equals NaN, -0.0 equals 0.0, a third of all rows are one
+    rows = [(None, "x", 1.0), ("x", None, 1.0), ("n", "n", float("nan")), ("n", "n", float("nan")), ("z", "z", 0.0), ("z", "z", -0.0),
+            (None, None, None), (None, None, None), *[("hot", "hot", 5.0)] * 5, ("one", "one", 1.0), ("two", "two", 2.0)]
+    df = spark.createDataFrame(rows, "a string, b string, x double")
+    for _ in range(2):
+        assert cleaning.duplicate_row_count(df).first()[0] == 7
+        assert sorted(map(repr, cleaning.drop_duplicate_rows(df).collect())) == sorted(map(repr, df.distinct().collect()))
+        assert cleaning.drop_duplicate_rows(df.limit(0)).count() == 0
+        monkeypatch.setattr(cleaning, "_DIGEST", ["__only"])  # half the digest, another name: the same rows
+
+
+def test_rows_that_occur_once_are_not_shuffled(spark):
+    wide = spark.range(1000).select("id", *[F.concat(F.lit(f"{i}-"), F.col("id")).alias(f"c{i}") for i in range(30)])
+    result = cleaning.drop_duplicate_rows(wide.unionAll(wide.limit(3)))
+    assert result.count() == 1000
+    plan = result._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+
+
 def test_null_keys_match_null_keys(spark):
     left = spark.createDataFrame([(1, "a"), (None, "b"), (3, "c")], "k int, v string")
     right = spark.createDataFrame([(1, 10), (None, 20)], "k int, w int")
