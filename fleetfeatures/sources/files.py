@@ -82,7 +82,8 @@ def headers(spark: SparkSession, path: str) -> DataFrame:
     """Per file (path, header, spans): its first line, and whether a line end may lie inside quotes.
 
     A quoted value that goes on in the next line leaves an odd number of quotes in its line. One pass over the text,
-    combined before the shuffle.
+    combined before the shuffle, with a buffer per file: the header so far and at most two truth values. A maximum in place
+    of the set would make Spark sort all lines of a task by their file, since a buffer with a text and no set is sorted for.
     """
     lines = spark.read.option("pathGlobFilter", "*.csv").text(path).select(
         F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"), "value",
@@ -90,7 +91,8 @@ def headers(spark: SparkSession, path: str) -> DataFrame:
     odd = (F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))) % 2 == 1
     # the first block of a file is in one task, in order
     first = F.when((F.col("start") == 0) & (F.trim("value") != ""), F.col("place"))
-    return lines.groupBy("path").agg(F.min_by("value", first).alias("header"), F.max(odd).alias("spans"))
+    return lines.groupBy("path").agg(
+        F.min_by("value", first).alias("header"), F.array_contains(F.collect_set(odd), True).alias("spans"))
 
 
 def _texts(spark: SparkSession, path: str) -> DataFrame:

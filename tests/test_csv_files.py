@@ -84,3 +84,14 @@ def test_one_large_file_is_still_split(spark, tmp_path):
         assert got.rdd.getNumPartitions() > 4 and got.count() == 40_000
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_headers_sort_no_lines(spark, tmp_path):
+    """The pass over the text keeps one buffer per file: lines were sorted by their file before, a task's whole text in memory."""
+    (tmp_path / "a.csv").write_text('\nk,note\n1,"two\nlines"\n')
+    (tmp_path / "b.csv").write_text('k,note\n1,"one ""line"""\n')
+    found = files.headers(spark, str(tmp_path))
+    rows = {r.path.rsplit("/", 1)[1]: (r.header, r.spans) for r in found.collect()}
+    assert rows == {"a.csv": ("k,note", True), "b.csv": ("k,note", False)}
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "ObjectHashAggregate" in plan and "SortAggregate" not in plan and "Sort [" not in plan
