@@ -11,8 +11,8 @@ probability of their weighted Jaccard similarity. Ranks are searched up to about
 Coordinates are banded; documents that share a band meet in its bucket. Pairs in
 a bucket are not all formed: first each document is compared with one leader of
 its buckets, then with each bucket's leader where that is in another component,
-then what is still apart inside a bucket and may be similar, by the
-number of shingles that few others have. Each comparison is exact (Jaccard similarity of the shingle sets at
+then what is still apart inside a bucket and may be similar, by bit sketches
+of the sets and, in large buckets, by the number of shingles that few others have. Each comparison is exact (Jaccard similarity of the shingle sets at
 least ``SIMILARITY``). Components of links are the classes.
 
 A pair of similarity 0.8 shares none of the 25 bands of 5 coordinates with
@@ -29,10 +29,11 @@ from __future__ import annotations
 import hashlib
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetfeatures.llm.common import numbered, ship, written
@@ -46,6 +47,9 @@ ROWS = 5
 #: Buckets up to this size are compared pair by pair; in larger ones a bound comes first.
 SMALL = 32
 RARE = 12
+#: 64-bit words of a set's sketch, a bit a shingle by hash; it bounds what two sets share.
+SKETCH = 32
+BOUNDS = ["n", "sketch", "spare"]
 
 _SEEDS = [U(0x1F83D9ABFB41BD6B), U(0x5BE0CD19137E2179), U(0x3C6EF372FE94F82B), U(0x510E527FADE682D1)]
 #: Upper ends of a Poisson(1) number's cumulative probabilities, as fractions of 2^64.
@@ -121,16 +125,23 @@ def signatures(docs: DataFrame) -> DataFrame:
     return written(signed.withColumn("doc_id", F.col("doc_id").cast(docs.schema["doc_id"].dataType)))
 
 
+def sketch(elements: np.ndarray) -> np.ndarray:
+    """A field of bits with one of each element set."""
+    bits = np.zeros(64 * SKETCH, np.uint8)
+    bits[(mix(elements.astype(U)) % U(64 * SKETCH)).astype(np.int64)] = 1
+    return np.packbits(bits).view(np.int64)
+
+
 def shingle_arrays(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(node, shingles) for the rows named in ``nodes``."""
+    """(node, shingles, sketch) for the rows named in ``nodes``."""
     def shingle(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             sets = [e.view(np.int64) for e, _ in shingle_sets(_bytes(batch["text"]))]
-            yield pd.DataFrame({"node": batch["row"], "shingles": sets})
+            yield pd.DataFrame({"node": batch["row"], "shingles": sets, "sketch": [sketch(e) for e in sets]})
 
     wanted = docs.join(nodes, F.col("row") == F.col("node"), "left_semi")
     texts = wanted.select("row", F.coalesce("text", F.lit("")).alias("text"))
-    return written(texts.mapInPandas(shingle, "node long, shingles array<long>"))
+    return written(texts.mapInPandas(shingle, "node long, shingles array<long>, sketch array<long>"))
 
 
 def similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -146,10 +157,27 @@ def _pairs(rows: DataFrame, a: str, b: str) -> DataFrame:
     return rows.filter(F.col(a) != F.col(b)).select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).distinct()
 
 
+def _bounds(sets: DataFrame) -> DataFrame:
+    """(node, n, sketch, spare): shingles of a node, their sketch, and how many of them have no bit of their own in it."""
+    bits = F.aggregate("sketch", F.lit(0), lambda n, x: n + F.bit_count(x))
+    size = F.size("shingles")
+    return sets.select("node", size.alias("n"), "sketch", (size - bits).alias("spare"))
+
+
+def _may_be_similar() -> Column:
+    """Whether two sets can be similar enough by their sizes and sketches: a bit that only one sketch has stands for an element
+    that only that set has. No similar pair is left out."""
+    both = [F.bit_count(F.get("sketch", F.lit(i)).bitwiseAND(F.get("b_sketch", F.lit(i)))) for i in range(SKETCH)]
+    most = reduce(Column.__add__, both) + F.least(F.col("spare"), F.col("b_spare"))
+    return most >= SIMILARITY * (F.col("n") + F.col("b_n") - most)
+
+
 def _pairs_in_small_buckets(placed: DataFrame) -> DataFrame:
-    """Nodes of different components in a bucket, as (leader, node)."""
-    other = placed.select("bucket", F.col("node").alias("b"), F.col("component").alias("c"))
-    return placed.join(other, "bucket").filter("component < c").select(F.col("node").alias("leader"), F.col("b").alias("node"))
+    """Nodes of different components in a bucket that may be similar, as (leader, node)."""
+    other = placed.select("bucket", F.col("node").alias("b"), F.col("component").alias("c"),
+                          *[F.col(c).alias(f"b_{c}") for c in BOUNDS])
+    met = placed.join(other, "bucket").filter((F.col("component") < F.col("c")) & _may_be_similar())
+    return met.select(F.col("node").alias("leader"), F.col("b").alias("node"))
 
 
 def _pairs_in_large_buckets(placed: DataFrame, sets: DataFrame) -> DataFrame:
@@ -161,19 +189,18 @@ def _pairs_in_large_buckets(placed: DataFrame, sets: DataFrame) -> DataFrame:
     come from a join on those (groups of ``RARE`` at most), with their number added to the bound.
     """
     nodes = placed.select("node", "component").distinct()
-    held = sets.join(nodes, "node")
-    single = held.select("node", F.explode("shingles").alias("shingle"))
+    single = sets.join(nodes, "node").select("node", F.explode("shingles").alias("shingle"))
     counts = single.groupBy("shingle").agg(F.count("*").alias("n")).filter(F.col("n") <= RARE)
     rare = written(single.join(counts, "shingle"))
-    sizes = held.select("node", "component", F.size("shingles").alias("n")).join(
+    sizes = _bounds(sets).join(nodes, "node").join(
         rare.groupBy("node").agg(F.count("*").alias("rare")), "node", "left").na.fill(0, ["rare"])
-    sizes = written(sizes.select("node", "component", "n", "rare", (F.col("n") - F.col("rare")).alias("usual")))
+    sizes = written(sizes.select("node", "component", *BOUNDS, "rare", (F.col("n") - F.col("rare")).alias("usual")))
     one = placed.select("node", "bucket", "bands").join(sizes, "node")
-    other = one.select("bucket", *[F.col(c).alias(f"b_{c}") for c in ("node", "component", "bands", "rare", "usual")])
+    other = one.select("bucket", *[F.col(c).alias(f"b_{c}") for c in ("node", "component", "bands", *BOUNDS, "rare", "usual")])
     met = one.join(other, "bucket").filter(
         (F.col("component") < F.col("b_component"))
         & (F.least("usual", "b_usual") >= SIMILARITY * (F.col("rare") + F.col("b_rare") + F.greatest("usual", "b_usual")))
-        & (F.get(F.array_intersect("bands", "b_bands"), 0) == F.col("bucket"))).select(
+        & (F.get(F.array_intersect("bands", "b_bands"), 0) == F.col("bucket")) & _may_be_similar()).select(
         F.col("node").alias("leader"), F.col("b_node").alias("node"))
     few = rare.filter("n > 1").select("shingle", "node")
     common = few.join(few.select("shingle", F.col("node").alias("b_node")), "shingle").filter("node < b_node").groupBy(
@@ -181,7 +208,8 @@ def _pairs_in_large_buckets(placed: DataFrame, sets: DataFrame) -> DataFrame:
     both = common.join(sizes, "node").join(sizes.select(*[F.col(c).alias(f"b_{c}") for c in sizes.columns]), "b_node")
     most = F.least("usual", "b_usual") + F.col("shared")
     near = both.filter((F.col("component") != F.col("b_component"))
-                       & (most >= SIMILARITY * (F.col("n") + F.col("b_n") - most)))
+                       & (most >= SIMILARITY * (F.col("n") + F.col("b_n") - most))
+                       & _may_be_similar())
     return met.unionAll(near.select(F.col("node").alias("leader"), F.col("b_node").alias("node")))
 
 
@@ -206,8 +234,8 @@ def linked_nodes(docs: DataFrame, nodes: DataFrame) -> DataFrame:
         placed = placed.join(apart, "bucket", "left_semi")
         if last:
             sized = placed.groupBy("bucket").agg((F.count("*") > SMALL).alias("large"))
-            placed = written(placed.join(sized, "bucket"))
-            large = placed.filter("large").join(nodes, "node")
+            placed = written(placed.join(sized, "bucket").join(_bounds(sets), "node"))
+            large = placed.filter("large").drop(*BOUNDS).join(nodes, "node")
             pairs = _pairs_in_small_buckets(placed.filter("NOT large")).unionAll(_pairs_in_large_buckets(large, sets))
         else:
             owners = parts.select(F.col("node").alias("own"), F.col("component").alias("c"))
