@@ -27,6 +27,8 @@ from fleetfeatures.llm.common import discard, numbered, without_blanks, written
 EDITS = 1
 LEAST = 20
 TOGETHER = 16
+#: Blocks of 32,768 bits, a bit a document, that are broadcast at most (32 MB).
+MARKS = 8192
 #: Stands in open parts where a segment was; lines do not hold it.
 CUT = "\n"
 
@@ -98,6 +100,18 @@ def _meeting(rows: DataFrame, edits: int) -> DataFrame:
     return rows.drop("few").join(sizes.select("key", few.alias("few")), "key")
 
 
+def _named(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The documents whose ``row`` occurs in ``wanted``, found by a bit a document, so that other texts are not shuffled. Where the
+    bits would be too many to broadcast, all documents: the join that follows decides."""
+    block, at = F.bitmap_bucket_number("row"), F.bitmap_bit_position("row")
+    marks = written(wanted.groupBy(block.alias("block")).agg(F.bitmap_construct_agg(at).alias("bits")))
+    if marks.limit(MARKS + 1).count() > MARKS:
+        return docs
+    byte = F.conv(F.hex(F.substring("bits", F.shiftright(at, 3).cast("int") + 1, F.lit(1))), 16, 10).cast("long")
+    held = docs.join(F.broadcast(marks), block == F.col("block"))
+    return held.filter(F.getbit(byte, F.pmod(at, F.lit(8)).cast("int")) == 1).select(*docs.columns)
+
+
 def near_lines(docs: DataFrame, firsts: DataFrame, edits: int = EDITS) -> DataFrame:
     """(row, j, chars) of first occurrences that are at most ``edits`` edits away from an earlier line."""
     entries = _first_entries(edits)
@@ -105,8 +119,8 @@ def near_lines(docs: DataFrame, firsts: DataFrame, edits: int = EDITS) -> DataFr
                                 for i, e in enumerate(entries)])).alias("s")
     index = firsts.filter(F.col("k0").isNotNull()).select("place", kinds).filter(F.col("s.key").isNotNull()).select(
         "s.key", "s.kind", "s.index", F.col("place.row").alias("row"), F.col("place.j").alias("j"))
-    wanted = _meeting(index, edits).groupBy("row").agg(F.collect_list(F.struct("j", "kind", "few")).alias("lines"))
-    texts = docs.select("row", F.split("doc.text", "\n").alias("text")).join(wanted, "row")
+    wanted = written(_meeting(index, edits).groupBy("row").agg(F.collect_list(F.struct("j", "kind", "few")).alias("lines")))
+    texts = _named(docs, wanted).select("row", F.split("doc.text", "\n").alias("text")).join(wanted, "row")
     found = texts.select("row", "text", F.explode("lines").alias("x")).select(
         "row", "x.j", "x.kind", "x.few", F.get("text", F.col("x.j")).alias("line"))
     # a second, independent hash of the matched segment from here on
@@ -115,6 +129,7 @@ def near_lines(docs: DataFrame, firsts: DataFrame, edits: int = EDITS) -> DataFr
     rows = found.select("row", "j", "few", F.get(F.array(*[F.lit(e[0]) for e in entries]), F.col("kind")).alias("index"),
                         F.get(F.array(*[F.lit(e[1]) for e in entries]), F.col("kind")).alias("shorter"), part.alias("s"))
     rows = written(rows.select("s.key", "row", "j", "index", "shorter", "few", "s.open"))
+    discard(wanted)
     again = [(e, role) for role in [(True, 0), *[(False, d) for d in range(edits + 1)]] for e in _entries(edits, *role)]
     done, rounds = None, [rows]
     while True:
