@@ -5,9 +5,10 @@ on a sphere; there the largest inner product with a query is the smallest
 distance to it, so a metric tree applies. Rows are dealt to pivots (the nearest
 one) and these cells into pages of bounded size; each page is an M-tree: nodes
 with a centre, a covering radius and each entry's distance to its parent's
-centre. A search takes nodes by their least possible distance from a heap and
-passes over entries whose stored parent distance already rules them out by the
-triangle inequality, without computing theirs. Scores are computed in whole
+centre. A search takes nodes by their least possible distance and passes over
+entries whose stored parent distance already rules them out by the triangle
+inequality, without computing theirs. Queries search a page together: each takes
+nodes in its own order, those at the same node compute in one product. Scores are computed in whole
 numbers and are exact; bounds have a slack above rounding.
 
 A query first searches the cell next to it; its k-th score then rules out cells
@@ -23,7 +24,6 @@ candidates than k all are returned; empty tables give no rows.
 
 from __future__ import annotations
 
-import heapq
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,7 +42,10 @@ CHUNK = 4096
 PIVOTS = 512
 FANOUT = 32
 LEAF = 256
+#: Queries that search a page together.
+TOGETHER = 256
 NO_ID = np.iinfo(np.int64).max
+NO_SCORE = np.iinfo(np.int64).min
 HIT = "query_row long, query_id long, vec_id long, score long"
 
 
@@ -81,65 +84,110 @@ class Page:
         order = np.argsort(ids, kind="stable")
         self.ids, self.x = ids[order], x[order]
         self.up = raised(self.x, top)
-        # a node: centre, radius, children (nodes or rows), their distances to the centre, their radii
+        # a node: centre, radius, children (numbers of nodes, or rows), their distances to the centre, their centres and radii
+        self.nodes: list[tuple] = []
         self.root = self._node(np.arange(len(ids)))
 
-    def _node(self, rows: np.ndarray) -> tuple:
+    def _node(self, rows: np.ndarray) -> int:
         up = self.up[rows]
         centre = up.mean(axis=0)
         away = np.linalg.norm(up - centre, axis=1)
-        if len(rows) <= LEAF or not (self.x[rows] != self.x[rows[0]]).any():
-            return centre, away.max(initial=0.0), rows, away, None
-        seeds = [int(away.argmax())]
-        nearest = np.linalg.norm(up - up[seeds[0]], axis=1)
-        group = np.zeros(len(rows), int)
-        while len(seeds) < FANOUT and nearest.max() > 0.0:
-            seeds.append(int(nearest.argmax()))
-            d = np.linalg.norm(up - up[seeds[-1]], axis=1)
-            closer = d < nearest
-            nearest[closer], group[closer] = d[closer], len(seeds) - 1
-        if len(seeds) == 1:
-            return centre, away.max(), rows, away, None
-        children = [self._node(rows[group == g]) for g in range(len(seeds)) if (group == g).any()]
-        centres = np.array([c[0] for c in children])
-        return (centre, away.max(), children, np.linalg.norm(centres - centre, axis=1), (centres, np.array([c[1] for c in children])))
+        node = (centre, away.max(initial=0.0), rows, away, None)
+        if len(rows) > LEAF and (self.x[rows] != self.x[rows[0]]).any():
+            seeds = [int(away.argmax())]
+            nearest = np.linalg.norm(up - up[seeds[0]], axis=1)
+            group = np.zeros(len(rows), int)
+            while len(seeds) < FANOUT and nearest.max() > 0.0:
+                seeds.append(int(nearest.argmax()))
+                d = np.linalg.norm(up - up[seeds[-1]], axis=1)
+                closer = d < nearest
+                nearest[closer], group[closer] = d[closer], len(seeds) - 1
+            if len(seeds) > 1:
+                children = [self._node(rows[group == g]) for g in range(len(seeds)) if (group == g).any()]
+                centres = np.array([self.nodes[c][0] for c in children])
+                radii = np.array([self.nodes[c][1] for c in children])
+                node = (centre, away.max(), np.array(children), np.linalg.norm(centres - centre, axis=1), (centres, radii))
+        self.nodes.append(node)
+        return len(self.nodes) - 1
 
     def search(self, q: np.ndarray, own: int, k: int, top: float, least: float) -> list[tuple[int, int]]:
         """The k best (score, id) for a query, at least those that reach ``least``."""
-        high = np.append(q, 0.0)
-        reach = float(q @ q) + top
-        slack = 1e-6 * (1.0 + reach ** 0.5)
-
-        def within(score: float) -> float:
-            return max(0.0, reach - 2.0 * score) ** 0.5 + slack
-
-        best: list[tuple[int, int]] = []  # a heap of (score, -id): the worst kept is first
-        limit = within(least) if np.isfinite(least) else np.inf
-        first = float(np.linalg.norm(self.root[0] - high))
-        heap = [(first - self.root[1], 0, first, self.root)]
-        count = 1
-        while heap and heap[0][0] <= limit:
-            _, _, here, (_, _, entries, apart, below) = heapq.heappop(heap)
-            if below is None:
-                rows = entries[np.abs(here - apart) <= limit]
-                rows = rows[self.ids[rows] != own]
-                for score, row in zip(products(self.x[rows], q).tolist(), rows.tolist()):
-                    found = (score, -int(self.ids[row]))
-                    if len(best) < k:
-                        heapq.heappush(best, found)
-                    elif found > best[0]:
-                        heapq.heapreplace(best, found)
-                if len(best) == k:
-                    limit = min(limit, within(best[0][0]))
-                continue
-            centres, radii = below
-            open_ = np.flatnonzero(np.abs(here - apart) - radii <= limit)
-            distances = np.linalg.norm(centres[open_] - high, axis=1)
-            for at, d in zip(open_.tolist(), distances.tolist()):
-                if d - radii[at] <= limit:
-                    heapq.heappush(heap, (d - radii[at], count, d, entries[at]))
-                    count += 1
-        return [(score, -negative) for score, negative in best]
+        _, scores, ids = self.search_all(q[None, :], np.array([own]), k, top, np.array([least]))
+        return list(zip(scores.tolist(), ids.tolist()))
+
+    def search_all(self, q: np.ndarray, own: np.ndarray, k: int, top: float, least: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Query (its place in ``q``), score and id of the k best rows of each query, at least those that reach its ``least``.
+
+        In a round each query takes its nearest nodes, twice as many as in the round before; queries that take the same node compute
+        their distances or scores together.
+        """
+        high = np.hstack([q, np.zeros((len(q), 1))])
+        reach = np.einsum("ij,ij->i", q, q) + top
+        slack = 1e-6 * (1.0 + np.sqrt(reach))
+        best, ids = np.full((len(q), k), NO_SCORE), np.full((len(q), k), NO_ID)
+        limit = np.full(len(q), np.inf)
+
+        def lower(who: np.ndarray, score: np.ndarray) -> None:
+            limit[who] = np.minimum(limit[who], np.sqrt(np.maximum(0.0, reach[who] - 2.0 * score)) + slack[who])
+
+        told = np.flatnonzero(np.isfinite(least))
+        lower(told, least[told])
+        here = np.full((len(q), len(self.nodes)), np.inf)
+        bound = here.copy()
+        here[:, self.root] = np.linalg.norm(high - self.nodes[self.root][0], axis=1)
+        bound[:, self.root] = here[:, self.root] - self.nodes[self.root][1]
+        take = 1
+        while True:
+            near = np.argpartition(bound, min(take, len(self.nodes)) - 1, axis=1)[:, :take]
+            nearest = np.take_along_axis(bound, near, 1)
+            query, place = np.nonzero(np.isfinite(nearest) & (nearest <= limit[:, None]))
+            if not len(query):
+                break
+            node = near[query, place]
+            order = np.argsort(node, kind="stable")
+            take *= 2
+            for who in np.split(order, np.flatnonzero(np.diff(node[order])) + 1):
+                at, who = node[who[0]], query[who]
+                who = who[bound[who, at] <= limit[who]]
+                bound[who, at] = np.inf
+                if not len(who):
+                    continue
+                _, _, entries, apart, below = self.nodes[at]
+                gap = np.abs(here[who, at][:, None] - apart)
+                if below is None:
+                    rows = entries[(gap <= limit[who, None]).any(axis=0)]
+                    if len(rows):
+                        self._score(q, own, who, rows, best, ids)
+                        full = who[best[who, -1] > NO_SCORE]
+                        lower(full, best[full, -1])
+                    continue
+                centres, radii = below
+                some = np.flatnonzero((gap - radii <= limit[who, None]).any(axis=0))
+                distances = _distances(high[who], centres[some])
+                least_possible = distances - radii[some]
+                here[np.ix_(who, entries[some])] = distances
+                bound[np.ix_(who, entries[some])] = np.where(least_possible <= limit[who, None], least_possible, np.inf)
+        query, place = np.nonzero(best > NO_SCORE)
+        return query, best[query, place], ids[query, place]
+
+    def _score(self, q: np.ndarray, own: np.ndarray, who: np.ndarray, rows: np.ndarray, best: np.ndarray, ids: np.ndarray) -> None:
+        """Put the scores of ``rows`` (in the order of their ids) among the best of the queries ``who``."""
+        k = best.shape[1]
+        score = products(self.x[rows], q[who].T).T
+        score[self.ids[rows] == own[who][:, None]] = NO_SCORE
+        known = np.hstack([best[who], score])
+        worst = np.partition(known, -k, axis=1)[:, -k:].min(axis=1)[:, None]
+        even = known == worst  # of equal scores k of the least ids are enough
+        even[:, k:] &= np.cumsum(even[:, k:], axis=1) <= k
+        mine, column = np.nonzero((known > NO_SCORE) & ((known > worst) | even))
+        found = known[mine, column]
+        named = np.where(column < k, ids[who[mine], np.minimum(column, k - 1)], self.ids[rows[np.maximum(column - k, 0)]])
+        order = np.lexsort((named, -found, mine))
+        mine, found, named = mine[order], found[order], named[order]
+        place = np.arange(len(mine)) - np.searchsorted(mine, mine)
+        first = place < k
+        best[who], ids[who] = NO_SCORE, NO_ID
+        best[who[mine[first]], place[first]], ids[who[mine[first]], place[first]] = found[first], named[first]
 
 
 def top_k(vectors: DataFrame, every: int = 50, k: int = K) -> DataFrame:
@@ -202,12 +250,16 @@ def top_k(vectors: DataFrame, every: int = 50, k: int = K) -> DataFrame:
         return run
 
     def look(key: tuple, wanted: pd.DataFrame, page: pd.DataFrame) -> pd.DataFrame:
-        out = []
+        out = [pd.DataFrame(columns=["query_row", "query_id", "vec_id", "score"], dtype="int64")]
         if len(wanted) and len(page):
             tree = Page(page["vec_id"].to_numpy(np.int64), matrix(page["v"], dim), top)
-            for row, own, least, v in zip(wanted["query_row"], wanted["query_id"], wanted["least"], matrix(wanted["v"], dim)):
-                out += [(row, own, i, s) for s, i in tree.search(v, own, k, top, least)]
-        return pd.DataFrame(out, columns=["query_row", "query_id", "vec_id", "score"], dtype="int64")
+            for at in range(0, len(wanted), TOGETHER):
+                some = wanted.iloc[at:at + TOGETHER]
+                own = some["query_id"].to_numpy(np.int64)
+                query, score, found = tree.search_all(matrix(some["v"], dim), own, k, top, some["least"].to_numpy(float))
+                out.append(pd.DataFrame({"query_row": some["query_row"].to_numpy(np.int64)[query], "query_id": own[query],
+                                         "vec_id": found, "score": score}))
+        return pd.concat(out)
 
     visit_kind = "cell int, page int, query_row long, query_id long, least double, v array<double>"
 

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import random
 
-from fleetfeatures.llm import linededup, minhash
+import numpy as np
+
+from fleetfeatures.llm import linededup, minhash, mtree
 
 
 def test_sketches_rule_out_distant_pairs_and_keep_similar_ones(spark, monkeypatch):
@@ -40,3 +42,21 @@ def test_documents_without_wanted_lines_are_left_out(spark):
     for wanted in (rows, rows[::2], rows[1::2], [], [3, 9, 2 ** 34]):
         found = linededup._named(docs, spark.createDataFrame([(r,) for r in wanted], "row long"))
         assert sorted(map(tuple, found.collect())) == [(r, f"text {r}") for r in rows if r in wanted]
+
+
+def test_queries_that_search_a_page_together_take_few_products(monkeypatch):
+    dice = np.random.default_rng(3)
+    x = np.floor(dice.normal(size=(3000, 16)) * 3)
+    x[100:900] = x[7]  # more equal rows than a leaf holds
+    ids = dice.permutation(3000) // 2  # ids repeat
+    page = mtree.Page(ids, x, float((x * x).sum(axis=1).max()))
+    q, own, least = x[::20], ids[::20], np.full(150, -np.inf)
+    least[::3] = 10.0
+    calls, compute = [], mtree.products
+    monkeypatch.setattr(mtree, "products", lambda a, b: calls.append(1) or compute(a, b))
+    query, score, found = page.search_all(q, own, 5, float((x * x).sum(axis=1).max()), least)
+    for n in range(150):
+        best = sorted((-int(s), int(i)) for s, i in zip(x @ q[n], ids) if i != own[n])[:5]
+        got = [(-s, i) for s, i in zip(score[query == n].tolist(), found[query == n].tolist())]
+        assert [g for g in got if -g[0] >= least[n]] == [b for b in best if -b[0] >= least[n]]
+    assert len(calls) < 1500
