@@ -169,7 +169,18 @@ def _may_be_similar() -> Column:
     that only that set has. No similar pair is left out."""
     both = [F.bit_count(F.get("sketch", F.lit(i)).bitwiseAND(F.get("b_sketch", F.lit(i)))) for i in range(SKETCH)]
     most = reduce(Column.__add__, both) + F.least(F.col("spare"), F.col("b_spare"))
-    return most >= SIMILARITY * (F.col("n") + F.col("b_n") - most)
+    # solved for what is shared, so that the sketches are compared once; rounding must not rule a pair out
+    return most >= SIMILARITY / (1 + SIMILARITY) * (F.col("n") + F.col("b_n")) - 1e-6
+
+
+def _by_node(placed: DataFrame, sets: DataFrame) -> DataFrame:
+    """(node, component, bounds, small, large): a row per node of ``placed`` (bucket, node, component) with lists of its small
+    and of its large buckets, one a band at most. What is fetched for a node is fetched once, not for each of its buckets."""
+    sized = placed.groupBy("bucket").agg((F.count("*") > SMALL).alias("big"))
+    held = placed.join(sized, "bucket").groupBy("node", "component").agg(
+        F.collect_list(F.when(~F.col("big"), F.col("bucket"))).alias("small"),
+        F.collect_list(F.when(F.col("big"), F.col("bucket"))).alias("large"))
+    return written(held.join(_bounds(sets), "node"))
 
 
 def _pairs_in_small_buckets(placed: DataFrame) -> DataFrame:
@@ -183,24 +194,24 @@ def _pairs_in_small_buckets(placed: DataFrame) -> DataFrame:
 def _pairs_in_large_buckets(placed: DataFrame, sets: DataFrame) -> DataFrame:
     """The same where very many distant copies of one text meet, without the pairs that cannot be similar.
 
+    ``placed`` has a row per node, with its ``bands`` and the list ``large`` of its buckets.
     A shingle that at most ``RARE`` of these nodes have is rare. Two sets without a common rare shingle share at most the
     lesser of their other parts, and together hold both rare parts and at least the greater other part. This bound is
     part of the join's condition, as is that a pair comes from the first band it shares. Pairs with common rare shingles
     come from a join on those (groups of ``RARE`` at most), with their number added to the bound.
     """
-    nodes = placed.select("node", "component").distinct()
-    single = sets.join(nodes, "node").select("node", F.explode("shingles").alias("shingle"))
+    single = sets.join(placed, "node", "left_semi").select("node", F.explode("shingles").alias("shingle"))
     counts = single.groupBy("shingle").agg(F.count("*").alias("n")).filter(F.col("n") <= RARE)
     rare = written(single.join(counts, "shingle"))
-    sizes = _bounds(sets).join(nodes, "node").join(
-        rare.groupBy("node").agg(F.count("*").alias("rare")), "node", "left").na.fill(0, ["rare"])
-    sizes = written(sizes.select("node", "component", *BOUNDS, "rare", (F.col("n") - F.col("rare")).alias("usual")))
-    one = placed.select("node", "bucket", "bands").join(sizes, "node")
+    nodes = placed.join(rare.groupBy("node").agg(F.count("*").alias("rare")), "node", "left").na.fill(0, ["rare"])
+    nodes = written(nodes.withColumn("usual", F.col("n") - F.col("rare")))
+    sizes = nodes.select("node", "component", *BOUNDS, "rare", "usual")
+    one = nodes.select("*", F.explode("large").alias("bucket"))
     other = one.select("bucket", *[F.col(c).alias(f"b_{c}") for c in ("node", "component", "bands", *BOUNDS, "rare", "usual")])
     met = one.join(other, "bucket").filter(
         (F.col("component") < F.col("b_component"))
         & (F.least("usual", "b_usual") >= SIMILARITY * (F.col("rare") + F.col("b_rare") + F.greatest("usual", "b_usual")))
-        & (F.get(F.array_intersect("bands", "b_bands"), 0) == F.col("bucket")) & _may_be_similar()).select(
+        & _may_be_similar() & (F.get(F.array_intersect("bands", "b_bands"), 0) == F.col("bucket"))).select(
         F.col("node").alias("leader"), F.col("b_node").alias("node"))
     few = rare.filter("n > 1").select("shingle", "node")
     common = few.join(few.select("shingle", F.col("node").alias("b_node")), "shingle").filter("node < b_node").groupBy(
@@ -233,10 +244,10 @@ def linked_nodes(docs: DataFrame, nodes: DataFrame) -> DataFrame:
         apart = apart.filter("lo < hi").select("bucket")
         placed = placed.join(apart, "bucket", "left_semi")
         if last:
-            sized = placed.groupBy("bucket").agg((F.count("*") > SMALL).alias("large"))
-            placed = written(placed.join(sized, "bucket").join(_bounds(sets), "node"))
-            large = placed.filter("large").drop(*BOUNDS).join(nodes, "node")
-            pairs = _pairs_in_small_buckets(placed.filter("NOT large")).unionAll(_pairs_in_large_buckets(large, sets))
+            placed = _by_node(placed, sets)
+            few = placed.select("node", "component", *BOUNDS, F.explode("small").alias("bucket"))
+            large = placed.drop("small").filter(F.size("large") > 0).join(nodes, "node")
+            pairs = _pairs_in_small_buckets(few).unionAll(_pairs_in_large_buckets(large, sets))
         else:
             owners = parts.select(F.col("node").alias("own"), F.col("component").alias("c"))
             pairs = placed.join(owners, "own", "left").filter(
