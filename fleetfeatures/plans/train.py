@@ -65,8 +65,12 @@ def build_frames(wide: DataFrame, train_until: str = TRAIN_UNTIL, valid_until: s
 
 
 def fit_models(frames: Frames, grids: Mapping[str, Grid] | None = None, *, parallelism: int = 4) -> list[Fitted]:
-    """M7: one grid search per classifier. Fitted once; all evaluations use these models."""
-    folded = with_folds(frames.train, available(frames.train, TRIP_ID) or frames.features)
+    """M7: one grid search per classifier. Fitted once; all evaluations use these models.
+
+    The folds are dealt once and written for all searches. A forest's draws follow the partitions of its rows.
+    """
+    # a search runs hundreds of short jobs: stored, the folds have partitions by their size, not one per shuffle partition
+    folded = cut_lineage(with_folds(frames.train, available(frames.train, TRIP_ID) or frames.features))
     return [grid_search(name, folded, frames.features, grid, parallelism=parallelism)
             for name, grid in (grids or default_grids()).items()]
 
