@@ -17,7 +17,7 @@ def test_tiles_hold_every_row_and_no_more_than_their_size(spark):
     df = spark.createDataFrame(rows, "k int, n int, t string").repartition(7)
     tiles = gather_tiles(df, ["k"], 10)
     assert sorted(len(r["tile"]) for r in tiles.collect()) == [6] * 3 + [10] * 12
-    assert Counter(map(tuple, spread_tiles(tiles).collect())) == Counter(rows)
+    assert Counter(map(tuple, spread_tiles(tiles, {"tile": ""}).collect())) == Counter(rows)
 
 
 def test_joined_tiles_are_the_joined_rows(spark):
@@ -29,7 +29,7 @@ def test_joined_tiles_are_the_joined_rows(spark):
         return join_on(join_on(ends, hours, [("o", "k")], "inner"), hours, [("d", "k"), "h"], "inner", suffixes=("_x", "_y"))
 
     plain = joined(df)
-    spread = spread_tiles(spread_tiles(joined(gather_tiles(df, ["k", "h"], 8)), "tile_x", "_x"), "tile_y", "_y")
+    spread = spread_tiles(joined(gather_tiles(df, ["k", "h"], 8)), {"tile_x": "_x", "tile_y": "_y"})
     assert sorted(spread.columns) == sorted(plain.columns)
     assert Counter(map(tuple, spread.select(*plain.columns).collect())) == Counter(map(tuple, plain.collect()))
     assert plain.count() == 2 * (30 * 11 + 2 * 11 * 11 + 7 * 30)
