@@ -45,7 +45,7 @@ SUMS = {
 }
 
 
-@pytest.mark.parametrize("query, rows, hours", [("slot_traffic", 12_000, 24)])
+@pytest.mark.parametrize("query, rows, hours", [("slot_traffic", 12_000, 24), ("suffix_rename", 30_000, 24), ("suffix_rename", 9_000, 1)])
 def test_no_task_makes_most_of_the_pairs(spark, tmp_path, query, rows, hours):
     con = duckdb.connect()
     no_route = "i % 1999 = 0" if query == "slot_traffic" else "false"  # the views number a null route first here, last in DuckDB
