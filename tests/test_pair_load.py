@@ -20,7 +20,8 @@ def test_dealt_joins_are_the_joined_rows(spark, how, salted):
     left = spark.createDataFrame([(k, h, i) for k, n in ((1, 9), (2, 3), (None, 4), (7, 2)) for h in ("a", None) for i in range(n)] * 2, "k int, h string, n int")
     right = spark.createDataFrame([(k, h, i) for k, n in ((1, 5), (2, 2), (None, 3), (8, 2)) for h in ("a", None) for i in range(n)], "k bigint, g string, m int")
     on = ["k", ("h", "g")]
-    load = pair_load(left, right, on, "left", task_pairs=20, share=0.05)
+    load = pair_load(left, right, on, "left", task_pairs=20, share=0.05, rows_to_salt=8)
+    assert pair_load(left, right, on, "left", task_pairs=20, share=0.05) == {"parts": 13, "hot": []}
     assert load["parts"] == 13 and len(load["hot"]) == 4
     plain = join_on(left, right, on, how)
     dealt = join_on(left, right, on, how, parts=load["parts"], hot=load["hot"] if salted else ())
